@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,41 +153,32 @@ def _hamming_sums(table: DataFrame, sizes: dict, d: int) -> DataFrame:
                                           for i, n in enumerate(sizes.values())])
 
 
-def _manhattan_sums(table: DataFrame, sizes: dict, d: int, buckets: int) -> DataFrame:
+def _manhattan_sums(table: DataFrame, sizes: dict, buckets: int) -> DataFrame:
     """sum |x - y| over the rows y of every cluster, for every distinct x, from
     prefix counts and sums; windows run inside value ranges of bounded size."""
-    from pyspark.sql import Window
     k = len(sizes)
     probs = [i / buckets for i in range(1, buckets)]
-    edges = {r["dim"]: sorted(set(r["e"])) for r in table.groupBy("dim").agg(
-        F.percentile_approx("value", probs, 100 * buckets).alias("e")).collect()}
-    edge_table = F.get(F.lit([[float(x) for x in edges.get(j, [])] for j in range(d)]), F.col("dim"))
-    table = table.withColumn("_bucket", F.size(F.filter(edge_table, lambda x: x < F.col("value"))))
-    totals = {(r["dim"], r["_bucket"]): r for r in table.groupBy("dim", "_bucket").agg(
+    # one row of range edges per column; one row of totals per column and range
+    edges = table.groupBy("dim").agg(
+        F.array_distinct(F.percentile_approx("value", F.lit(probs), 100 * buckets)).alias("_e"))
+    placed = table.join(F.broadcast(edges), "dim").withColumn(
+        "_bucket", F.size(F.filter("_e", lambda x: x < F.col("value")))).drop("_e")
+    before = Window.partitionBy("dim").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("dim")
+    totals = placed.groupBy("dim", "_bucket").agg(
         *[F.sum(f"n{i}").alias(f"n{i}") for i in range(k)],
-        *[F.sum(F.col(f"n{i}") * F.col("value")).alias(f"t{i}") for i in range(k)]).collect()}
-    # counts and sums below every range, per column and cluster
-    n_before = [[[0] * (buckets + 1) for _ in range(k)] for _ in range(d)]
-    t_before = [[[0.0] * (buckets + 1) for _ in range(k)] for _ in range(d)]
-    for j in range(d):
-        for b in range(buckets):
-            r = totals.get((j, b))
-            for i in range(k):
-                n_before[j][i][b + 1] = n_before[j][i][b] + (r[f"n{i}"] if r else 0)
-                t_before[j][i][b + 1] = t_before[j][i][b] + (r[f"t{i}"] if r else 0.0)
-
-    def at(values, dtype, place):
-        return F.get(F.get(F.lit(values).cast(f"array<array<{dtype}>>"), F.col("dim")), place)
-
+        *[F.sum(F.col(f"n{i}") * F.col("value")).alias(f"t{i}") for i in range(k)])
+    totals = totals.select("dim", "_bucket", *[
+        F.coalesce(F.sum(f"{t}{i}").over(w), F.lit(0)).alias(f"_{t}{i}_{tag}")
+        for i in range(k) for t in "nt" for tag, w in (("lo", before), ("all", whole))])
     w = Window.partitionBy("dim", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     out, x = [], F.col("value")
     for i in range(k):
-        n_i, t_i = [n_before[j][i] for j in range(d)], [t_before[j][i] for j in range(d)]
-        n_le = F.sum(f"n{i}").over(w) + at(n_i, "bigint", F.col("_bucket"))
-        t_le = F.sum(F.col(f"n{i}") * x).over(w) + at(t_i, "double", F.col("_bucket"))
-        n_all, t_all = at(n_i, "bigint", F.lit(buckets)), at(t_i, "double", F.lit(buckets))
-        out.append((x * n_le - t_le + (t_all - t_le) - x * (n_all - n_le)).alias(f"s{i}"))
-    return table.select("dim", "value", *out)
+        n_le = F.sum(f"n{i}").over(w) + F.col(f"_n{i}_lo")
+        t_le = F.sum(F.col(f"n{i}") * x).over(w) + F.col(f"_t{i}_lo")
+        n_gt, t_gt = F.col(f"_n{i}_all") - n_le, F.col(f"_t{i}_all") - t_le
+        out.append((x * n_le - t_le + t_gt - x * n_gt).alias(f"s{i}"))
+    return placed.join(F.broadcast(totals), ["dim", "_bucket"]).select("dim", "value", *out)
 
 
 def _additive_silhouette(df: DataFrame, cols: Sequence[str], label: str, metric: str,
@@ -200,7 +191,7 @@ def _additive_silhouette(df: DataFrame, cols: Sequence[str], label: str, metric:
     if metric == "hamming":
         sums = cut_lineage(_hamming_sums(levels, sizes, len(cols)))
     else:
-        sums = cut_lineage(_manhattan_sums(cut_lineage(levels), sizes, len(cols), buckets))
+        sums = cut_lineage(_manhattan_sums(cut_lineage(levels), sizes, buckets))
     out = df
     for j, c in enumerate(cols):
         part = sums.where(F.col("dim") == j).drop("dim").toDF(
@@ -259,7 +250,7 @@ def _euclidean_silhouette(df: DataFrame, key: str, cols, label: str, block_rows:
 
 
 def silhouette_samples(df: DataFrame, key: str, cols, label: str, metric: str = "euclidean", *,
-                       block_rows: int = BLOCK_ROWS, buckets: int = 512) -> DataFrame:
+                       block_rows: int = BLOCK_ROWS, buckets: int = 256) -> DataFrame:
     """(b - a) / max(a, b) per row; a singleton cluster gives 0."""
     if metric == "euclidean":
         return _euclidean_silhouette(df, key, cols, label, block_rows)

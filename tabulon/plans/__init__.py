@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tabulon.plans import cluster_queries, frame_queries  # noqa: F401
+from tabulon.plans import cluster_queries, decompose_queries, frame_queries  # noqa: F401
 from tabulon.plans.cluster_queries import flagship
 from tabulon.plans.registry import ORACLES, QUERIES
 
