@@ -74,6 +74,13 @@ def with_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFrame
     return placed.withColumn(name, F.get(start, part.cast("int")) + within).drop("_slot")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Before a CPU-heavy map stage: rows of a scan with fewer partitions than
+    cores are dealt out; a scan with enough partitions stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hash_order(*cols) -> Column:
     """Stable pseudo-random sort key."""
     return F.xxhash64(*cols)

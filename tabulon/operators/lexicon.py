@@ -54,18 +54,22 @@ def pick_sense(tokens: DataFrame, senses: DataFrame, default: str) -> DataFrame:
 def lesk(tokens: DataFrame, senses: DataFrame, if_null: str = "no_pos") -> DataFrame:
     """Sense whose gloss shares most words with the sentence (the largest id on
     a tie): with the part of speech, then (``no_pos``) without, else the token."""
-    context = tokens.select("sent_id", F.col("token").alias("g")).distinct()
-    rows = tokens.select("sent_id", "pos", F.lower("token").alias("word"), T.map_pos("tag").alias("_p")).where("_p IS NOT NULL")
-    cand = rows.join(senses.select("word", F.col("pos").alias("_sp"), "sense_id", F.array_distinct(
-        T.split_ws("gloss")).alias("_g")), "word")
+    # the overlap depends on the sentence and the sense only, the choice on the
+    # word and its part of speech: both are made distinct before any join
+    context = tokens.groupBy("sent_id").agg(F.collect_set("token").alias("_ctx"))  # vocabulary of one text
+    rows = tokens.withColumns({"_w": F.lower("token"), "_p": T.map_pos("tag")})
+    wanted = rows.where("_p IS NOT NULL").select("sent_id", "_w", "_p").distinct()
+    glosses = senses.select("sense_id", F.array_distinct(T.split_ws("gloss")).alias("_g")).dropDuplicates(["sense_id"])
+    cand = wanted.join(senses.select(F.col("word").alias("_w"), F.col("pos").alias("_sp"), "sense_id"), "_w")
     if if_null != "no_pos":
         cand = cand.where(F.col("_sp") == F.col("_p"))
-    hits = (cand.select("sent_id", "pos", "sense_id", F.explode("_g").alias("g")).join(context, ["sent_id", "g"])
-            .groupBy("sent_id", "pos", "sense_id").agg(F.count("*").alias("hits")))
-    scored = cand.drop("_g", "word").join(hits, ["sent_id", "pos", "sense_id"], "left")
-    rank = F.struct((F.col("_sp") == F.col("_p")).alias("same"), F.coalesce("hits", F.lit(0)).alias("hits"), "sense_id")
-    best = scored.groupBy("sent_id", "pos").agg(F.max(rank).alias("b")).select("sent_id", "pos", F.col("b.sense_id").alias("_sense"))
-    return tokens.join(best, ["sent_id", "pos"], "left").withColumn("sense", F.coalesce("_sense", "token")).drop("_sense")
+    hits = (cand.select("sent_id", "sense_id").distinct().join(context, "sent_id").join(glosses, "sense_id")
+            .select("sent_id", "sense_id", F.size(F.array_intersect("_g", "_ctx")).alias("hits")))
+    rank = F.struct((F.col("_sp") == F.col("_p")).alias("same"), "hits", "sense_id")
+    best = cand.join(hits, ["sent_id", "sense_id"]).groupBy("sent_id", "_w", "_p").agg(F.max(rank).alias("b")).select(
+        "sent_id", "_w", "_p", F.col("b.sense_id").alias("_sense"))
+    return rows.join(best, ["sent_id", "_w", "_p"], "left").withColumn(
+        "sense", F.coalesce("_sense", "token")).drop("_sense", "_w", "_p")
 
 
 # ---- taxonomy ------------------------------------------------------------------

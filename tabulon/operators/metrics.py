@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,11 +160,19 @@ def _manhattan_sums(table: DataFrame, sizes: dict, buckets: int) -> DataFrame:
     prefix counts and sums; windows run inside value ranges of bounded size."""
     k = len(sizes)
     probs = [i / buckets for i in range(1, buckets)]
-    # one row of range edges per column; one row of totals per column and range
-    edges = table.groupBy("dim").agg(
-        F.array_distinct(F.percentile_approx("value", F.lit(probs), 100 * buckets)).alias("_e"))
-    placed = table.join(F.broadcast(edges), "dim").withColumn(
-        "_bucket", F.size(F.filter("_e", lambda x: x < F.col("value")))).drop("_e")
+    # range edges: a bounded array per column
+    edges = {r["dim"]: np.unique(r["e"]) for r in table.groupBy("dim").agg(
+        F.percentile_approx("value", F.lit(probs), 100 * buckets).alias("e")).collect()}
+
+    @F.pandas_udf("int")
+    def bucket_of(dim: pd.Series, value: pd.Series) -> pd.Series:
+        out = np.zeros(len(dim), dtype="int32")
+        for j, e in edges.items():
+            mine = dim.to_numpy() == j
+            out[mine] = np.searchsorted(e, value.to_numpy()[mine], side="left")
+        return pd.Series(out)
+
+    placed = table.withColumn("_bucket", bucket_of("dim", "value"))
     before = Window.partitionBy("dim").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("dim")
     totals = placed.groupBy("dim", "_bucket").agg(
@@ -212,7 +222,6 @@ def _euclidean_silhouette(df: DataFrame, key: str, cols, label: str, block_rows:
 
     Rows are hashed to blocks of bounded size; a task sees one pair of blocks
     and returns k partial sums per row, never the pairs."""
-    import numpy as np
     sizes = _cluster_sizes(df, label)
     names = list(sizes)
     n_blocks = max(1, -(-sum(sizes.values()) // block_rows))
@@ -228,7 +237,6 @@ def _euclidean_silhouette(df: DataFrame, key: str, cols, label: str, block_rows:
     id_type = df.schema[key].dataType.simpleString()
 
     def block(left, right):
-        import pandas as pd
         if left.empty or right.empty:
             return pd.DataFrame({"_id": [], **{f"_s{i}": [] for i in range(k)}})
         q, p = np.stack(left["_x"].to_numpy()), np.stack(right["_x"].to_numpy())

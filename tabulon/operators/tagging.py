@@ -85,83 +85,92 @@ def backoff_tag_forced(df_with_prev: DataFrame, bigram: DataFrame, unigram: Data
 
 
 # ---- chunked decoding ------------------------------------------------------------------
-def _forward(enter: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best scores after the chunk and back pointers; ``enter`` is e x s scores
-    of entry alternatives, ``steps`` is t x s x s (from, to)."""
-    score = enter
-    back = np.empty((len(steps), *enter.shape), dtype=np.int32)
-    for t, step in enumerate(steps):
-        total = score[:, :, None] + step[None, :, :]
-        back[t] = total.argmax(1)
-        score = total.max(1)
-    return score, back
-
-
 @dataclass
 class StateModel:
-    """States 0..s-1 with a boundary start state s; ``step(rows)`` gives the
-    t x (s+1) x (s+1) log scores of entering each state at each row; ``tag_of``
-    names the tag of a state."""
+    """Scores over ``size`` states; state i carries tag ``tag_of[i]``. ``step``
+    gives the from x to log scores of one row; ``start`` is the entry state and
+    ``end`` the score of ending in a state."""
 
     tags: list[str]
     tag_of: list[int]
     start: int
-    end: np.ndarray  # score of ending in a state
+    end: np.ndarray
+    column: str  # the per-row input of ``step``
 
-    def steps(self, rows: pd.DataFrame) -> np.ndarray:
+    @property
+    def size(self) -> int:
+        return len(self.tag_of)
+
+    def step(self, value) -> np.ndarray:
         raise NotImplementedError
 
+    def advance(self, scores: np.ndarray, value) -> tuple[np.ndarray, np.ndarray]:
+        """(alternatives x states) before and after a row, with the best
+        previous state of every new state."""
+        total = scores[:, :, None] + self.step(value)[None, :, :]
+        return total.max(1), total.argmax(1)
+
 
-def decode(placed: DataFrame, seq: str, model: StateModel, extra: Sequence[str] = (),
-           name: str = "predicted") -> DataFrame:
-    """Best tag sequence of every sequence. ``placed`` has ord, pos, chunk and
-    the columns ``model.steps`` reads (``extra``)."""
-    s = len(model.tag_of)
+def decode(placed: DataFrame, seq: str, model: StateModel, name: str = "predicted") -> DataFrame:
+    """Best tag sequence of every sequence. ``placed`` has ord, chunk and the
+    column the model reads.
+
+    A sequence of one chunk is decoded at once. Chunks of longer ones are first
+    reduced to state-to-state score tables, whose combination fixes the states
+    at the chunk borders; then all chunks are decoded independently."""
+    s = model.size
     seq_type = dict(placed.dtypes)[seq]
-    rows = placed.select(seq, "ord", "pos", "chunk", *extra)
+    rows = placed.select(seq, "ord", "chunk", model.column)
+    long_ones = rows.where(F.col("chunk") > 0).select(seq).distinct()
 
     def reduce_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord")
-        enter = np.full((s, s), NEG)
-        np.fill_diagonal(enter, 0.0)
-        score, _ = _forward(enter, model.steps(pdf))
-        return pd.DataFrame({seq: [pdf[seq].iloc[0]], "chunk": [pdf["chunk"].iloc[0]], "table": [score.ravel()]})
+        scores = np.full((s, s), NEG)
+        np.fill_diagonal(scores, 0.0)
+        for value in pdf[model.column]:
+            scores, _ = model.advance(scores, value)
+        return pd.DataFrame({seq: [pdf[seq].iloc[0]], "chunk": [pdf["chunk"].iloc[0]], "table": [scores.ravel()]})
 
-    tables = cut_lineage(rows.groupBy(seq, "chunk").applyInPandas(
+    tables = cut_lineage(rows.join(long_ones, seq, "left_semi").groupBy(seq, "chunk").applyInPandas(
         reduce_chunk, f"{seq} {seq_type}, chunk bigint, table array<double>"))
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        # one small table per CHUNK rows of the sequence
+        # one small table per chunk of the sequence
         pdf = pdf.sort_values("chunk")
-        score = np.full(s, NEG)
-        score[model.start] = 0.0
+        scores = np.full(s, NEG)
+        scores[model.start] = 0.0
         came = []
         for flat in pdf["table"]:
-            total = score[:, None] + np.asarray(flat).reshape(s, s)
+            total = scores[:, None] + np.asarray(flat).reshape(s, s)
             came.append(total.argmax(0))
-            score = total.max(0)
-        state = int((score + model.end).argmax())
-        ends, starts = [], []
+            scores = total.max(0)
+        state = int((scores + model.end).argmax())
+        enters, leaves = [], []
         for back in reversed(came):
-            ends.append(state)
+            leaves.append(state)
             state = int(back[state])
-            starts.append(state)
-        return pd.DataFrame({seq: pdf[seq], "chunk": pdf["chunk"], "enter": starts[::-1], "leave": ends[::-1]})
+            enters.append(state)
+        return pd.DataFrame({seq: pdf[seq], "chunk": pdf["chunk"], "enter": enters[::-1], "leave": leaves[::-1]})
 
-    ends = tables.groupBy(seq).applyInPandas(combine, f"{seq} {seq_type}, chunk bigint, enter int, leave int")
+    borders = tables.groupBy(seq).applyInPandas(combine, f"{seq} {seq_type}, chunk bigint, enter int, leave int")
 
     def decode_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord")
-        enter = np.full((1, s), NEG)
-        enter[0, int(pdf["enter"].iloc[0])] = 0.0
-        _, back = _forward(enter, model.steps(pdf))
-        state, path = int(pdf["leave"].iloc[0]), []
-        for t in range(len(pdf) - 1, -1, -1):
+        enter, leave = pdf["enter"].iloc[0], pdf["leave"].iloc[0]
+        scores = np.full((1, s), NEG)
+        scores[0, model.start if pd.isna(enter) else int(enter)] = 0.0
+        back = []
+        for value in pdf[model.column]:
+            scores, came = model.advance(scores, value)
+            back.append(came[0].astype("int32"))
+        state = int((scores[0] + model.end).argmax()) if pd.isna(leave) else int(leave)
+        path = []
+        for came in reversed(back):
             path.append(model.tags[model.tag_of[state]])
-            state = int(back[t][0, state])
+            state = int(came[state])
         return pd.DataFrame({"ord": pdf["ord"], name: path[::-1]})
 
-    joined = rows.join(ends, [seq, "chunk"])
+    joined = rows.join(borders, [seq, "chunk"], "left")
     decoded = joined.groupBy(seq, "chunk").applyInPandas(decode_chunk, f"ord bigint, {name} string")
     return placed.join(decoded, "ord")
 
@@ -174,12 +183,9 @@ class _Greedy(StateModel):
     """Deterministic left-to-right backoff tagging as a state model: from the
     previous predicted tag exactly one next tag has score 0."""
 
-    def steps(self, rows: pd.DataFrame) -> np.ndarray:
-        n = len(self.tags)
-        out = np.full((len(rows), n + 1, n + 1), NEG)
-        for t, choice in enumerate(rows["choice"]):
-            for prev, tag in enumerate(choice):
-                out[t, prev, tag] = 0.0
+    def step(self, value) -> np.ndarray:
+        out = np.full((self.size, self.size), NEG)
+        out[np.arange(self.size), np.asarray(value)] = 0.0
         return out
 
 
@@ -195,9 +201,8 @@ def backoff_tag(placed: DataFrame, seq: str, bigram: DataFrame, unigram: DataFra
     choice = F.transform(F.lit([*tags, "<s>"]), lambda p: (F.array_position(
         index, F.coalesce(F.try_element_at("_m", p), fallback)) - 1).cast("int"))
     rows = rows.withColumn("choice", choice).drop("_m", "_u")
-    model = _Greedy(tags, [*range(len(tags)), 0], len(tags), np.zeros(len(tags) + 1))
-    model.end[-1] = NEG
-    return decode(rows, seq, model, ["choice"], name).drop("choice")
+    model = _Greedy(tags, [*range(len(tags)), 0], len(tags), np.zeros(len(tags) + 1), "choice")
+    return decode(rows, seq, model, name).drop("choice")
 
 
 # ---- hidden Markov model -------------------------------------------------------------
@@ -213,9 +218,8 @@ def hmm_counts(train_with_prev: DataFrame) -> dict[str, DataFrame]:
 class _Hmm(StateModel):
     transition: np.ndarray
 
-    def steps(self, rows: pd.DataFrame) -> np.ndarray:
-        emit = np.stack(rows["emit"].to_numpy())
-        return self.transition[None, :, :] + emit[:, None, :]
+    def step(self, value) -> np.ndarray:
+        return self.transition + np.asarray(value)[None, :]
 
 
 def hmm_tag(placed: DataFrame, seq: str, counts: dict[str, DataFrame], name: str = "predicted") -> DataFrame:
@@ -238,10 +242,9 @@ def hmm_tag(placed: DataFrame, seq: str, counts: dict[str, DataFrame], name: str
     logs = F.transform(F.lit(tags), lambda t: F.log(F.coalesce(F.try_element_at("_m", t), F.lit(0)) + 1.0))
     rows = placed.join(by_word, "word", "left").withColumn("emit", F.concat(
         F.zip_with(logs, F.lit([float(np.log(mass[t])) for t in tags]), lambda a, b: a - b), F.array(F.lit(NEG))))
-    model = _Hmm(tags, [*range(k), 0], k, np.zeros(k + 1))
-    model.end[k] = NEG
+    model = _Hmm(tags, [*range(k), 0], k, np.zeros(k + 1), "emit")
     model.transition = table
-    return decode(rows.drop("_m"), seq, model, ["emit"], name).drop("emit")
+    return decode(rows.drop("_m"), seq, model, name).drop("emit")
 
 
 # ---- interpolated trigrams -------------------------------------------------------------
@@ -276,14 +279,18 @@ def interpolation_weights(counts: dict[str, DataFrame]) -> DataFrame:
 
 
 class _Trigram(StateModel):
-    transition: np.ndarray
-    pairs: int
+    """State (a, b) = a * m + b over the m - 1 tags and the boundary mark; a row
+    moves (a, b) to (b, c), so only m scores meet in a new state."""
 
-    def steps(self, rows: pd.DataFrame) -> np.ndarray:
-        emit = np.stack(rows["emit"].to_numpy())  # t x tags
-        k = emit.shape[1]
-        per_state = np.concatenate([np.tile(emit, (1, k + 1)), np.full((len(rows), 1), NEG)], axis=1)
-        return self.transition[None, :, :] + per_state[:, None, :]
+    transition: np.ndarray  # m x m x m scores of c after a, b
+
+    def advance(self, scores: np.ndarray, value) -> tuple[np.ndarray, np.ndarray]:
+        m = len(self.transition)
+        total = scores.reshape(len(scores), m, m, 1) + self.transition[None]
+        first = total.argmax(1)  # best a for every (b, c)
+        best = np.take_along_axis(total, first[:, None], 1)[:, 0] + np.asarray(value)[None, None, :]
+        came = first * m + np.arange(m)[None, :, None]
+        return best.reshape(len(scores), -1), came.reshape(len(scores), -1)
 
 
 def trigram_tag(placed: DataFrame, seq: str, counts: dict[str, DataFrame], name: str = "predicted") -> DataFrame:
@@ -294,14 +301,9 @@ def trigram_tag(placed: DataFrame, seq: str, counts: dict[str, DataFrame], name:
     tri = {(r["t1"], r["t2"], r["t3"]): r["n"] for r in bounded_rows(counts["tri"], MAX_TAGS ** 3, "tag triples")}
     tags = sorted(uni)
     k, total = len(tags), sum(uni.values())
-    if k > 40:
-        raise ValueError("more than 40 tags: the pair-state table would not stay small")
     prev = [*tags, "<s>"]
     c1 = {a: sum(bi.get((a, c), 0) for c in tags) for a in prev}
     c12 = {(a, b): sum(tri.get((a, b, c), 0) for c in tags) for a in prev for b in prev}
-    # state (a, b) = a * k + b for b a tag and a a tag or <s>; the last state is the start
-    n_states = (k + 1) * k + 1
-    table = np.full((n_states, n_states), NEG)
 
     def score(a, b, c):
         p = lam["lambda1"] * uni[c] / total
@@ -309,22 +311,18 @@ def trigram_tag(placed: DataFrame, seq: str, counts: dict[str, DataFrame], name:
         p += lam["lambda3"] * tri.get((a, b, c), 0) / c12[a, b] if c12[a, b] else 0.0
         return np.log(max(p, 1e-12))
 
-    for j, c in enumerate(tags):
-        table[n_states - 1, k * k + j] = score("<s>", "<s>", c)
-        for i, a in enumerate(prev):
-            for m, b in enumerate(tags):
-                table[i * k + m, m * k + j] = score(a, b, c)
+    table = np.array([[[score(a, b, c) for c in tags] + [NEG] for b in prev] for a in prev])
     vocabulary = counts["emission"].select("word").distinct().count()
     mass = {t: uni[t] + vocabulary + 1 for t in tags}
     by_word = counts["emission"].groupBy("word").agg(
         F.map_from_entries(F.collect_list(F.struct("tag", "n"))).alias("_m"))  # at most one entry per tag
     logs = F.transform(F.lit(tags), lambda t: F.log(F.coalesce(F.try_element_at("_m", t), F.lit(0)) + 1.0))
-    rows = placed.join(by_word, "word", "left").withColumn("emit", F.zip_with(
-        logs, F.lit([float(np.log(mass[t])) for t in tags]), lambda a, b: a - b))
-    model = _Trigram(tags, [*(list(range(k)) * (k + 1)), 0], n_states - 1, np.zeros(n_states))
-    model.end[-1] = NEG
-    model.transition, model.pairs = table, n_states - 1
-    return decode(rows.drop("_m"), seq, model, ["emit"], name).drop("emit")
+    rows = placed.join(by_word, "word", "left").withColumn("emit", F.concat(F.zip_with(
+        logs, F.lit([float(np.log(mass[t])) for t in tags]), lambda a, b: a - b), F.array(F.lit(NEG))))
+    tag_of = [*(list(range(k)) + [0]) * (k + 1)]
+    model = _Trigram(tags, tag_of, (k + 1) ** 2 - 1, np.zeros((k + 1) ** 2), "emit")
+    model.transition = table
+    return decode(rows.drop("_m"), seq, model, name).drop("emit")
 
 
 # ---- evaluation ---------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions import tokens as T
-from tabulon.functions.scale import only_row
+from tabulon.functions.scale import cut_lineage, only_row
 
 
 def words(df: DataFrame, tokens: str = "tokens", by: Sequence[str] = ()) -> DataFrame:
@@ -83,7 +83,7 @@ def collocations(df: DataFrame, n: int = 20, tokens: str = "tokens", stopwords:
                  min_count: int = 2, min_length: int = 3) -> DataFrame:
     """Frequent bigrams by log-likelihood ratio; stop words and short words
     are no partners. Marginals count bigram positions."""
-    pairs = bigram_counts(df, tokens)
+    pairs = cut_lineage(bigram_counts(df, tokens))  # one row per distinct pair, read four times
     left = pairs.groupBy("w1").agg(F.sum("n").alias("a"))
     right = pairs.groupBy("w2").agg(F.sum("n").alias("b"))
     total = only_row(pairs.agg(F.sum("n").alias("t")))["t"] or 0
@@ -143,6 +143,7 @@ def language_id(df: DataFrame, model: DataFrame, lang: str, id_col: str, tokens:
 
     ln((c + 1) / (N + V)) is 'ln(c + 1)' on seen words plus a per-language
     constant times the length, so only seen words are joined."""
+    model = cut_lineage(model)
     vocabulary = only_row(model.select("word").distinct().agg(F.count("*").alias("v")))["v"]
     sizes = model.groupBy(lang).agg(F.sum("n").alias("size")).collect()  # one row per language
     counts = words(df, tokens, [id_col]).groupBy(id_col, "word").agg(F.count("*").alias("c"))

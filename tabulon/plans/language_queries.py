@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import tokens as T
 from tabulon.functions import vectors as V
-from tabulon.functions.scale import cut_lineage
+from tabulon.functions.scale import cut_lineage, spread
 from tabulon.operators import embed, frame, lexicon, regress
 from tabulon.plans.registry import load, query, rnd, rounded
 from tabulon.plans.text_queries import STOP_SQL, _PUNCT_SQL, tok_sql
@@ -27,7 +27,7 @@ def tag_of(w):
 
 def conversation_tokens(spark, sf, lower=False):
     text = F.lower("text") if lower else F.col("text")
-    return load(spark, sf, "conversations").select(
+    return spread(load(spark, sf, "conversations", "conv_id", "turn", "text")).select(
         (F.col("conv_id") * 100 + F.col("turn")).alias("sent_id"), T.word_tokenize(text).alias("tokens"))
 
 

@@ -51,8 +51,8 @@ def _(spark, sf):
 def _(spark, sf):
     left_path, right_path = scratch_path(spark, "left"), scratch_path(spark, "right")
     df = load(spark, sf, "labels").orderBy("doc_id")
-    df.select("doc_id", "quality").coalesce(1).write.csv(left_path, sep="\t")
-    df.select("toxic").coalesce(1).write.csv(right_path, sep="\t")
+    df.select("doc_id", "quality").write.csv(left_path, sep="\t")
+    df.select("toxic").write.csv(right_path, sep="\t")
     left = tables.line_numbers(tables.read_pairs(spark, left_path, ["doc_id", "quality"], {"doc_id": "bigint", "quality": "int"}))
     right = tables.line_numbers(tables.read_pairs(spark, right_path, ["toxic"], {"toxic": "int"}))
     return tables.zip_columns(left, right)
@@ -127,7 +127,7 @@ def write_vectors(spark, sf, path):
     """Vector of a label name and of every third vector id, as a text file."""
     e = load(spark, sf, "embeddings").orderBy("vec_id").select(F.concat_ws(" ", F.concat(F.lit("w"), "vec_id"), F.array_join(
         F.transform("embedding", lambda x: F.round(x.cast("double"), 4).cast("string")), " ")).alias("value"))
-    e.coalesce(1).write.text(path)
+    e.write.text(path)
 
 
 def _event_tokens(spark, sf):

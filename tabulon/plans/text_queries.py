@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulon.functions import tokens as T
-from tabulon.functions.scale import cut_lineage, only_row
+from tabulon.functions.scale import cut_lineage, only_row, spread
 from tabulon.operators import tagging, textstats
 from tabulon.plans.registry import load, query, rnd, rounded
 
@@ -24,7 +24,8 @@ _PUNCT_SQL = "[" + ", ".join("'" + c.replace("'", "''") + "'" for c in T.PUNCTUA
 
 def documents(spark, sf, lower=True):
     text = F.lower("text") if lower else F.col("text")
-    return load(spark, sf, "documents").select("doc_id", "lang", "source", T.word_tokenize(text).alias("tokens"))
+    docs = spread(load(spark, sf, "documents", "doc_id", "lang", "source", "text"))
+    return docs.select("doc_id", "lang", "source", T.word_tokenize(text).alias("tokens"))
 
 
 _D = f"WITH d AS (SELECT doc_id, lang, source, {tok_sql('lower(text)')} AS tokens FROM documents), w AS (SELECT doc_id, lang, source, unnest(tokens) AS word FROM d) "
