@@ -231,8 +231,9 @@ def _euclidean_silhouette(df: DataFrame, key: str, cols, label: str, block_rows:
     rows = df.select(F.col(key).alias("_id"), feats.alias("_x"), cluster.cast("int").alias("_c"),
                      F.pmod(F.xxhash64(key), F.lit(n_blocks)).alias("_b"))
     others = F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))
-    query = rows.select("_id", "_x", F.col("_b").alias("_q"), F.explode(others).alias("_p"))
-    base = rows.select("_x", "_c", F.explode(others).alias("_q"), F.col("_b").alias("_p"))
+    # fresh columns on both sides: they come from one frame
+    query = rows.select(F.col("_id").alias("_id"), F.col("_x").alias("_x"), F.col("_b").alias("_q"), F.explode(others).alias("_p"))
+    base = rows.select(F.col("_x").alias("_x"), F.col("_c").alias("_c"), F.explode(others).alias("_q"), F.col("_b").alias("_p"))
     k = len(names)
     id_type = df.schema[key].dataType.simpleString()
 
