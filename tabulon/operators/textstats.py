@@ -15,7 +15,9 @@ from tabulon.functions.scale import cut_lineage, only_row
 
 
 def words(df: DataFrame, tokens: str = "tokens", by: Sequence[str] = ()) -> DataFrame:
-    return df.select(*by, F.explode(tokens).alias("word"))
+    # the outer form keeps the optimizer from testing size(tokens) > 0 below the
+    # tokenizing projection, which would run the tokenizer again
+    return df.select(*by, F.explode_outer(tokens).alias("word")).where(F.col("word").isNotNull())
 
 
 def text_stats(df: DataFrame, tokens: str = "tokens", by: Sequence[str] = ()) -> DataFrame:
@@ -65,8 +67,9 @@ def length_dist(freq: DataFrame) -> DataFrame:
 def concordance(df: DataFrame, word: str, width: int = 5, id_col: str = "doc_id", tokens: str = "tokens") -> DataFrame:
     """Every hit with up to ``width`` tokens on both sides."""
     t = F.col(tokens)
-    hits = F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: F.lower(F.element_at(t, i)) == word.lower())
-    found = df.where(F.size(t) > 0).select(id_col, t.alias("_t"), F.explode(hits).alias("pos"))
+    lowered = F.transform(t, lambda w, i: F.struct(F.lower(w).alias("w"), (i + 1).alias("i")))
+    hits = F.transform(F.filter(lowered, lambda s: s["w"] == word.lower()), lambda s: s["i"])
+    found = df.select(id_col, t.alias("_t"), F.explode(hits).alias("pos"))
     start = F.greatest(F.col("pos") - width, F.lit(1))
     return found.select(
         id_col, (F.col("pos") - 1).alias("pos"),
@@ -107,7 +110,7 @@ def contexts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     inner = F.greatest(F.size(t) - 2, F.lit(0))
     zipped = F.arrays_zip(F.slice(t, 1, inner).alias("left"), F.slice(t, 2, inner).alias("word"),
                           F.slice(t, 3, inner).alias("right"))
-    return df.where(F.size(t) > 2).select(F.inline(zipped)).groupBy("left", "word", "right").agg(F.count("*").alias("n"))
+    return df.select(F.inline(zipped)).groupBy("left", "word", "right").agg(F.count("*").alias("n"))
 
 
 def similar_words(df: DataFrame, word: str, n: int = 20, tokens: str = "tokens") -> DataFrame:

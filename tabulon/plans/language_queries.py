@@ -32,8 +32,8 @@ def conversation_tokens(spark, sf, lower=False):
 
 
 def token_rows(spark, sf):
-    rows = conversation_tokens(spark, sf).select("sent_id", F.posexplode("tokens").alias("pos", "token"))
-    return rows.withColumn("tag", tag_of(F.col("token")))
+    rows = conversation_tokens(spark, sf).select("sent_id", F.posexplode_outer("tokens").alias("pos", "token"))
+    return rows.where(F.col("token").isNotNull()).withColumn("tag", tag_of(F.col("token")))
 
 
 def lexicon_table(spark, sf):
@@ -217,7 +217,7 @@ _MARKS = f"WITH d AS (SELECT conv_id * 100 + turn AS sent_id, list_concat(['<s>'
 
 
 def word_vectors(spark, sf):
-    words = conversation_tokens(spark, sf, lower=True).select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where("n > 1").select("word")
+    words = conversation_tokens(spark, sf, lower=True).select(F.explode_outer("tokens").alias("word")).where("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("n")).where("n > 1").select("word")
     words = words.unionByName(spark.createDataFrame([("</s>",)], "word string"))
     h = F.md5("word")
     return words.select("word", F.array(*[F.conv(F.substring(h, 2 * i + 1, 2), 16, 10).cast("int") / F.lit(255.0) for i in range(_DIM)]).alias("vec"))

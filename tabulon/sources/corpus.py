@@ -30,7 +30,8 @@ def tagged_corpus(df: DataFrame, category: str, seq: str, order: list[str], word
 def vocabulary(tokens: DataFrame, col: str = "tokens") -> DataFrame:
     """Distinct tokens plus the two sentence marks."""
     marks = tokens.sparkSession.createDataFrame([(BEGIN,), (END,)], "word string")
-    return tokens.select(F.explode(col).alias("word")).unionByName(marks).distinct()
+    words = tokens.select(F.explode_outer(col).alias("word")).where(F.col("word").isNotNull())
+    return words.unionByName(marks).distinct()
 
 
 def _parse(lines: DataFrame) -> DataFrame:
