@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import bounded_rows
-from tabulon.llm.common import map_text, mix, slices
+from tabulon.llm.common import map_text, slices
 
 #: Buckets are ``2**BITS``.
 BITS = 14
@@ -42,10 +42,6 @@ def hashed_ngrams(text: str, orders=ORDERS, bits: int = BITS) -> list[np.ndarray
     return out
 
 
-def has_letter(text: Column) -> Column:
-    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-
-
 class Model:
     """Languages and their log-probabilities by bucket."""
 
@@ -110,10 +106,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang
 
     ``und`` with score 0 if the text is null or has no letter (empty texts
     too), or the model knows no language."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (model.languages, model.priors, model.table, model.orders, model.bits))
 
     def make():
-        m = sent.value
+        m = Model(*sent.value)
 
         def kernel(texts):
             langs, values = [], []
@@ -132,6 +129,3 @@ def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang
         return kernel
 
     return map_text(docs, text, [(pred, "string"), (score, "double")], make)
-
-
-__all__ = ["BITS", "MAX_LANGUAGES", "Model", "fit", "has_letter", "hashed_ngrams", "mix", "predict"]
