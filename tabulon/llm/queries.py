@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import scratch_path
-from tabulon.llm import decontamination, language, sql, warc
+from tabulon.llm import decontamination, fingerprints, language, sql, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,8 @@ def op6(spark, sf):
     docs = docs.withColumn("held_out", F.coalesce(held, F.lit(False)))
     model = language.fit(docs.where(~F.col("held_out")))
     return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op7_fingerprints")
+def op7(spark, sf):
+    return fingerprints.compare_with_next(table(spark, sf, "documents", "doc_id", "text"))
