@@ -157,7 +157,7 @@ def _cuts(keys: DataFrame, rows: int, most: int) -> list:
     if parts > 1:
         # every s-th key in a hash order, about 16 for each bucket; the choice moves borders, never results
         s = max(1, n // (16 * parts))
-        drawn = sorted(r[0] for r in keys.where(F.pmod(F.xxhash64("k"), F.lit(s)) == 0).distinct().collect())
+        drawn = sorted(r[0] for r in keys.where("k is not null").where(F.pmod(F.xxhash64("k"), F.lit(s)) == 0).distinct().collect())
         cuts.update(drawn[::16])
     return sorted(cuts, reverse=True)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import scratch_path
-from tabulon.llm import decontamination, fingerprints, language, sql, warc
+from tabulon.llm import decontamination, fingerprints, language, quality, sql, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,27 @@ def op6(spark, sf):
 @query("op7_fingerprints")
 def op7(spark, sf):
     return fingerprints.compare_with_next(table(spark, sf, "documents", "doc_id", "text"))
+
+
+@query("op3_quality")
+def op3(spark, sf):
+    """Grades of the labels: 0 junk, 1 good but toxic, 2 good."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    labels = table(spark, sf, "labels", "doc_id", "quality", "toxic").withColumn(
+        "grade", F.col("quality") * (2 - F.col("toxic")))
+    scored = quality.score(docs, quality.fit(docs, labels, "grade"), 1)
+    return scored.select("doc_id", "expected_grade", "p_tail", (F.col("p_tail") >= quality.THRESHOLD).alias("keep"))
+
+
+def toxic_labels(spark, sf):
+    """The chain's categories, junk before toxic."""
+    return table(spark, sf, "labels", "doc_id", "quality", "toxic").select(
+        "doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+
+
+@query("op10_toxicity")
+def op10(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    chain = toxicity.fit(docs, toxic_labels(spark, sf), ["low_quality", "toxic"])
+    scored = toxicity.score(docs, chain, ["p_low_quality", "p_toxic"])
+    return scored.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= toxicity.THRESHOLD).alias("toxic"))
