@@ -17,8 +17,6 @@ from tabulon.llm.decontamination import words_of
 BITS = 18
 #: Lengths of word beginnings (bytes) that are features of their own.
 PREFIXES = (6, 5, 4)
-#: A bucket has a weight if this many rows of the sample have it.
-LEAST_ROWS = 3
 #: Most labelled rows a model is fitted on; all other rows are only scored.
 SAMPLE_ROWS = 8000
 _SHAPE = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c >= 128 else 48 if 48 <= c <= 57 else c for c in range(256))
@@ -67,16 +65,17 @@ class Rows:
         self.cols = np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64)
         self.row = np.repeat(np.arange(self.n), sizes)
 
-    def common(self, width: int, least: int = LEAST_ROWS) -> tuple[Rows, np.ndarray]:
-        """The same rows over renumbered buckets that ``least`` rows have; and those buckets."""
-        used = np.flatnonzero(np.bincount(self.cols, minlength=width) >= least)
+    def telling(self, target: np.ndarray, width: int) -> tuple[Rows, np.ndarray, np.ndarray]:
+        """The same rows over renumbered buckets that have a scale; those buckets and scales."""
+        scale = log_ratios(self, target, width)
+        used = np.flatnonzero(scale)
         place = np.full(width, -1)
         place[used] = np.arange(len(used))
         keep = place[self.cols] >= 0
         out = Rows([])
         out.n, out.row, out.cols = self.n, self.row[keep], place[self.cols[keep]]
         out.starts = np.searchsorted(out.row, np.arange(self.n + 1))
-        return out, used
+        return out, used, scale[used]
 
     def take(self, rows: np.ndarray) -> Rows:
         return Rows([self.cols[self.starts[i]:self.starts[i + 1]] for i in rows])
@@ -88,13 +87,15 @@ class Rows:
         return np.bincount(self.cols, weights=g[self.row], minlength=width)
 
 
-def log_ratios(x: Rows, target: np.ndarray, width: int) -> np.ndarray:
+def log_ratios(x: Rows, target: np.ndarray, width: int, errors: float = 2.0) -> np.ndarray:
     """Scale of each bucket: how much oftener it stands in rows with a high
-    target than with a low one (log, smoothed, clipped)."""
+    target than with a low one (log of smoothed shares), less ``errors``
+    standard errors.  Buckets that tell nothing get 0, so the many chance words
+    of a long text do not add up."""
     high, low = np.maximum(target, 0), np.maximum(1 - target, 0)
-    p = (x.back(high, width) + 0.5) / (high.sum() + 1)
-    q = (x.back(low, width) + 0.5) / (low.sum() + 1)
-    return np.clip(np.log(p / q), -6, 6)
+    a, b = x.back(high, width) + 0.5, x.back(low, width) + 0.5
+    ratio = np.log(a / (high.sum() + 1)) - np.log(b / (low.sum() + 1))
+    return np.sign(ratio) * np.clip(np.abs(ratio) - errors * np.sqrt(1 / a + 1 / b), 0, 6)
 
 
 def descend(gradient, start: np.ndarray, steps: int = 80, rate: float = 0.05) -> np.ndarray:

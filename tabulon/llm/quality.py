@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from tabulon.llm.common import map_text
-from tabulon.llm.hashed_text import BITS, SAMPLE_ROWS, Rows, descend, labelled_sample, log_ratios, style_buckets
+from tabulon.llm.hashed_text import BITS, SAMPLE_ROWS, Rows, descend, labelled_sample, style_buckets
 
 #: A document is selected from this tail probability on.
 THRESHOLD = 0.5
@@ -46,8 +46,7 @@ def fit_rows(grade: np.ndarray, lists: list[np.ndarray], bits: int = BITS, ridge
         return Model(np.zeros(width, np.float32), np.zeros(0), grades or [0.0])
     level = np.searchsorted(grades, grade)
     k, n = len(grades) - 1, len(grade)
-    x, used = Rows(lists).common(width)
-    r = log_ratios(x, level / k, len(used))
+    x, used, r = Rows(lists).telling(level / k, width)
 
     def gradient(p):
         t = p[len(used):]

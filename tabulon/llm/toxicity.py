@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from tabulon.llm.common import map_text
-from tabulon.llm.hashed_text import BITS, SAMPLE_ROWS, Rows, descend, labelled_sample, log_ratios, word_buckets
+from tabulon.llm.hashed_text import BITS, SAMPLE_ROWS, Rows, descend, labelled_sample, word_buckets
 
 #: Folds of the out-of-fold predictions.
 FOLDS = 3
@@ -42,8 +42,8 @@ def fit_link(x: Rows, earlier: np.ndarray, y: np.ndarray, width: int, ridge: flo
     k = earlier.shape[1]
     if not len(y) or y.min() == y.max():
         return Link(np.zeros(width, np.float32), np.zeros(k), 40.0 if len(y) and y.min() > 0 else -40.0)
-    small, used = x.common(width)
-    r, centred = log_ratios(small, y, len(used)), earlier - 0.5
+    small, used, r = x.telling(y, width)
+    centred = earlier - 0.5
 
     def gradient(w):
         z = small.dot(w[:len(used)] * r) + centred @ w[len(used):-1] + w[-1]
