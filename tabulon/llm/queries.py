@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import scratch_path
-from tabulon.llm import decontamination, fingerprints, language, quality, sql, toxicity, warc
+from tabulon.llm import decontamination, fingerprints, language, quality, secrets, sql, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,14 @@ def op10(spark, sf):
     chain = toxicity.fit(docs, toxic_labels(spark, sf), ["low_quality", "toxic"])
     scored = toxicity.score(docs, chain, ["p_low_quality", "p_toxic"])
     return scored.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= toxicity.THRESHOLD).alias("toxic"))
+
+
+@query("op8_secrets")
+def op8(spark, sf):
+    found = secrets.scan(table(spark, sf, "documents", "doc_id", "text", "source"), out="_s")
+    n = lambda kind: F.size(F.filter("_s.base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
+        F.sha2(secrets.spell(F.col("_s.base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.spell(F.col("_s.spans")).alias("spans"), F.col("_s.n_live").alias("n_live"),
+        F.col("_s.n_copied").alias("n_copied"))
