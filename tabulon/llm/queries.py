@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import scratch_path
-from tabulon.llm import decontamination, fingerprints, language, quality, secrets, sql, toxicity, warc
+from tabulon.llm import decontamination, fingerprints, language, pieces, quality, secrets, sql, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,12 @@ def op8(spark, sf):
         F.sha2(secrets.spell(F.col("_s.base")).cast("binary"), 256).alias("base_sha256"),
         secrets.spell(F.col("_s.spans")).alias("spans"), F.col("_s.n_live").alias("n_live"),
         F.col("_s.n_copied").alias("n_copied"))
+
+
+@query("op4_sentencepiece")
+def op4(spark, sf):
+    vocabulary = pieces.Vocabulary.load()
+    encoded = pieces.encode(table(spark, sf, "documents", "doc_id", "text"), vocabulary)
+    decoded = pieces.decode(encoded, vocabulary)
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
+                          F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
