@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import scratch_path
-from tabulon.llm import decontamination, fingerprints, language, pieces, quality, secrets, sql, toxicity, warc
+from tabulon.llm import decontamination, fingerprints, jaccard, language, pieces, quality, secrets, sql, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,8 @@ def op4(spark, sf):
     decoded = pieces.decode(encoded, vocabulary)
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
                           F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query("op9_jaccard_join")
+def op9(spark, sf):
+    return jaccard.join(table(spark, sf, "documents", "doc_id", "text"))
