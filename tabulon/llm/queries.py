@@ -102,6 +102,6 @@ def op4(spark, sf):
                           F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
-@query("op9_jaccard_join")
+@query("op9_jaccard_join", sql.JACCARD)
 def op9(spark, sf):
     return jaccard.join(table(spark, sf, "documents", "doc_id", "text"))
