@@ -48,14 +48,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def map_groups(df: DataFrame, keys: list[str], schema: str, fn: Callable[[pa.Table], Iterator[pa.RecordBatch]],
-               order: list[str] | None = None) -> DataFrame:
-    """Hash rows by ``keys`` and call ``fn`` for each group, one at a time; much
-    cheaper than a grouped UDF when groups are many and small.  Groups must be
-    bounded by the caller."""
+               order: list[str] | None = None, at_once: int = 1) -> DataFrame:
+    """Hash rows by ``keys`` and call ``fn`` for each group, or for runs of whole
+    groups of about ``at_once`` rows; much cheaper than a grouped UDF when groups
+    are many and small.  Groups must be bounded by the caller."""
     placed = df.repartition(*keys).sortWithinPartitions(*keys, *(order or []))
 
     def run(batches):
-        held, last = [], None
+        held, last, rows = [], None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -67,10 +67,11 @@ def map_groups(df: DataFrame, keys: list[str], schema: str, fn: Callable[[pa.Tab
             borders = [0, *(change.nonzero()[0] + 1).tolist(), batch.num_rows]
             for a, b in zip(borders, borders[1:], strict=False):
                 key = tuple(c[a].as_py() for c in cols)
-                if held and key != last:
+                if held and key != last and rows >= at_once:
                     yield from fn(pa.Table.from_batches(held))
-                    held = []
+                    held, rows = [], 0
                 last = key
+                rows += b - a
                 held.append(batch.slice(a, b - a))
         if held:
             yield from fn(pa.Table.from_batches(held))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import scratch_path
-from tabulon.llm import decontamination, fingerprints, jaccard, language, pieces, quality, secrets, sql, toxicity, warc
+from tabulon.llm import decontamination, fingerprints, jaccard, language, pieces, quality, repeats, secrets, sql, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,8 @@ def op4(spark, sf):
 @query("op9_jaccard_join", sql.JACCARD)
 def op9(spark, sf):
     return jaccard.join(table(spark, sf, "documents", "doc_id", "text"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark, sf):
+    return repeats.remove(table(spark, sf, "documents", "doc_id", "text"))
