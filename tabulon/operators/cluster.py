@@ -116,17 +116,20 @@ def _distances(model: ClusterModel, protos: list) -> Column:
     return F.array(*out)
 
 
+def distinct_rows(df: DataFrame, cols: Sequence[str], k: int, key: Sequence[str], seed: int) -> list[tuple]:
+    """The first k distinct rows, or all if there are fewer, in the order of a
+    seeded hash of the row key; of equal rows the first counts."""
+    order = F.struct(hash_order(*key, F.lit(seed)).alias("h"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(key)])
+    firsts = df.groupBy(*cols).agg(F.min(order).alias("_first"))
+    return [tuple(r[c] for c in cols) for r in firsts.orderBy("_first", *cols).limit(k).collect()]
+
+
 def starting_rows(df: DataFrame, cols: Sequence[str], k: int, key: Sequence[str], seed: int) -> list[tuple]:
     """k distinct rows in the order of a seeded hash of the row key."""
-    order = [hash_order(*key, F.lit(seed)), *key]
-    rows = df.select(*cols, *key).orderBy(*order).limit(20 * k).collect()
-    found = list(dict.fromkeys(tuple(r[c] for c in cols) for r in rows))
-    if len(found) < k:  # many equal rows: look at the distinct ones
-        rows = df.select(*cols).distinct().orderBy(hash_order(*cols, F.lit(seed)), *cols).limit(k).collect()
-        found = [tuple(r) for r in rows]
+    found = distinct_rows(df, cols, k, key, seed)
     if len(found) < k:
         raise ValueError(f"only {len(found)} distinct rows for {k} clusters")
-    return found[:k]
+    return found
 
 
 # ---- Lloyd-type iterations ---------------------------------------------------

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.operators.cluster import starting_rows
+from tabulon.operators.cluster import distinct_rows
 
 MAX_UNITS = 10_000
 
@@ -88,12 +88,13 @@ def som_fit(df: DataFrame, cols: Sequence[str], height: int = 10, width: int = 1
             step: float = 0.5, epochs: int = 20, key: Sequence[str] = (), seed: int = 12,
             codebook=None) -> SomModel:
     """The radius shrinks linearly to 0 over the epochs. ``errors`` holds the
-    mean quantisation error before every epoch."""
+    mean quantisation error before every epoch. Units start at distinct rows,
+    which repeat only if there are fewer of them than units."""
     units = height * width
     if units > MAX_UNITS:
         raise ValueError(f"at most {MAX_UNITS} units")
     if codebook is None:
-        rows = starting_rows(df, cols, min(units, 32), key, seed)
+        rows = distinct_rows(df, cols, units, key, seed)
         codebook = [rows[u % len(rows)] for u in range(units)]
     model = SomModel(height, width, list(cols), np.asarray(codebook, float))
     data = df.select(*cols).persist()

@@ -207,12 +207,18 @@ def _(spark, sf):
     return rounded(both, 6, "value")
 
 
-# quantity (1..50) and discount (0..0.1) to a priority in 0..100
+def _even(lo: float, hi: float, n: int) -> list[tuple[float, float, float]]:
+    """n triangles with evenly spaced peaks from lo to hi."""
+    step = (hi - lo) / (n - 1)
+    return [(lo + (k - 1) * step, lo + k * step, lo + (k + 1) * step) for k in range(n)]
+
+
+# priority in 0..100: a level up with each step of quantity, a level down with a discount
+_STEPS, _CUTS = 4, 2
 RULES = series.RuleBase(
-    inputs={"l_quantity": [(-24.0, 1.0, 26.0), (1.0, 25.5, 50.0), (25.0, 50.0, 75.0)],
-            "l_discount": [(-0.05, 0.0, 0.05), (0.0, 0.05, 0.1), (0.05, 0.1, 0.15)]},
-    output=[(-50.0, 0.0, 50.0), (0.0, 50.0, 100.0), (50.0, 100.0, 150.0)], output_range=(0.0, 100.0),
-    rules=[((0, 0), 2), ((0, 1), 0), ((0, 2), 0), ((1, 0), 0), ((1, 1), 1), ((1, 2), 2), ((2, 0), 0), ((2, 1), 2), ((2, 2), 2)])
+    inputs={"l_quantity": _even(2.0, 50.0, _STEPS), "l_discount": _even(0.0, 0.1, _CUTS)},
+    output=_even(0.0, 100.0, _STEPS + _CUTS - 1), output_range=(0.0, 100.0),
+    rules=[((q, d), q + _CUTS - 1 - d) for q in range(_STEPS) for d in range(_CUTS)])
 
 
 def _tri_sql(x, t):
@@ -231,13 +237,14 @@ def _(spark, sf):
     return rounded(df.drop("l_quantity", "l_discount"), 6, *names)
 
 
-_FIRE = ", ".join("greatest(" + ", ".join(f"least(l_quantity_{a}, l_discount_{b})" for (a, b), out in RULES.rules if out == o) + f") AS f{o}" for o in range(3))
+_FIRE = ", ".join("greatest(" + ", ".join(f"least(l_quantity_{a}, l_discount_{b})" for (a, b), out in RULES.rules if out == o) + f") AS f{o}" for o in range(len(RULES.output)))
+_CUT_OFF = ", ".join(f"least(f{o}, s{o})" for o in range(len(RULES.output)))
 
 
 @query("z4_fuzzy_score", f"""
 WITH p AS (SELECT DISTINCT l_quantity, l_discount FROM lineitem), m AS (SELECT *, {_MF} FROM p), f AS (SELECT l_quantity, l_discount, {_FIRE} FROM m),
 g AS (SELECT y, {", ".join(f"{_tri_sql('y', t)} AS s{o}" for o, t in enumerate(RULES.output))} FROM (SELECT unnest(range(101))::DOUBLE AS y)),
-c AS (SELECT l_quantity, l_discount, sum(y * h) AS n, sum(h) AS d FROM (SELECT l_quantity, l_discount, y, greatest(least(f0, s0), least(f1, s1), least(f2, s2)) AS h FROM f, g) GROUP BY 1, 2)
+c AS (SELECT l_quantity, l_discount, sum(y * h) AS n, sum(h) AS d FROM (SELECT l_quantity, l_discount, y, greatest({_CUT_OFF}) AS h FROM f, g) GROUP BY 1, 2)
 SELECT l_orderkey, l_linenumber, round(CASE WHEN d > 0 THEN n / d ELSE 50 END, 6) AS score FROM lineitem JOIN c USING (l_quantity, l_discount)""")
 def _(spark, sf):
     df = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_discount")

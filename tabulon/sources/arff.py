@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 # Fixed value: one attribute line - a bare or quoted name, then its type.
 ATTRIBUTE = re.compile(r"""@attribute\s+('(?:[^']|\\')*'|"[^"]*"|\S+)\s+(.*)$""", re.IGNORECASE)
 NUMERIC_TYPES = ("real", "numeric", "integer")
-MAX_HEADER_LINES = 100_000
+#: Files whose ``@data`` places are broadcast; beyond that they are joined.
+MAX_BROADCAST_FILES = 100_000
 
 
 @dataclass(frozen=True)
@@ -47,17 +48,6 @@ def parse_attribute(line: str) -> Attribute:
     raise ValueError(f"unsupported attribute type: {kind!r}")
 
 
-_IS_HEADER = r"^\s*(?:%|@|$)"
-
-
-def _header_lines(lines: DataFrame, file: str) -> list[str]:
-    """Attribute lines of one file in order; files are read whole only where
-    header lines are, so the filter runs on the executors."""
-    rows = (lines.where((F.col("_file") == file) & F.lower(F.ltrim("value")).startswith("@attribute"))
-            .select("value", "_start").orderBy("_start").limit(MAX_HEADER_LINES).collect())
-    return [r["value"] for r in rows]
-
-
 def _lines(spark: SparkSession, path) -> DataFrame:
     """Text lines with their file and a number that orders them in a file
     block; headers sit in the first block of a file."""
@@ -73,22 +63,31 @@ def read_arff(spark: SparkSession, path: str | list[str], keep_missing_level: bo
     levels in the column metadata; ``?`` is null, or a level of its own with
     ``keep_missing_level``. All files must declare the same attributes."""
     lines = _lines(spark, path)
-    declared = lines.where(F.lower(F.ltrim("value")).startswith("@attribute"))
+    # a line is header or data by its place in the file, not by how it begins
+    is_mark = F.lower(F.trim("value")).rlike(r"^@data\b")
+    places = lines.groupBy("_file").agg(F.min(F.when(is_mark, F.col("_start"))).alias("_data"))
+    seen = places.agg(F.count("*").alias("files"), F.count("_data").alias("marked")).first()
+    if seen["files"] > seen["marked"]:
+        raise ValueError(f"{seen['files'] - seen['marked']} files below {path} have no @data line")
+    lines = lines.join(F.broadcast(places) if seen["files"] <= MAX_BROADCAST_FILES else places, "_file")
+    declared = lines.where((F.col("_start") < F.col("_data")) & F.lower(F.ltrim("value")).startswith("@attribute"))
     # same header everywhere: compare one fingerprint per distinct header
-    by_file = declared.groupBy("_file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-        F.struct("_start", F.regexp_replace(F.trim("value"), r"\s+", " ").alias("v")))), lambda s: F.lower(s["v"])), "\n").alias("h"))
-    kinds = by_file.groupBy("h").agg(F.min("_file").alias("file"), F.count("*").alias("n")).orderBy(F.desc("n"), "file").limit(2).collect()
+    by_file = declared.groupBy("_file").agg(F.transform(F.array_sort(F.collect_list(
+        F.struct("_start", F.trim("value").alias("v")))), lambda s: s["v"]).alias("lines"))
+    alike = F.lower(F.regexp_replace(F.array_join("lines", "\n"), r"[ \t]+", " "))
+    kinds = by_file.groupBy(alike.alias("h")).agg(F.min(F.struct("_file", "lines")).alias("first"), F.count("*").alias("n"))
+    kinds = kinds.orderBy(F.desc("n"), "first._file").limit(2).collect()
     if not kinds:
         raise ValueError(f"no @attribute lines below {path}")
     if len(kinds) > 1:
-        raise ValueError(f"file {kinds[1]['file']} declares other attributes than {kinds[0]['file']}")
-    n_files = lines.select("_file").distinct().count()
-    if n_files != kinds[0]["n"]:
-        raise ValueError(f"{n_files - kinds[0]['n']} files below {path} have no attribute header")
-    attributes = [parse_attribute(v) for v in _header_lines(lines, kinds[0]["file"])]
+        raise ValueError(f"file {kinds[1]['first']['_file']} declares other attributes than {kinds[0]['first']['_file']}")
+    if seen["files"] != kinds[0]["n"]:
+        raise ValueError(f"{seen['files'] - kinds[0]['n']} files below {path} have no attribute header")
+    attributes = [parse_attribute(v) for v in kinds[0]["first"]["lines"]]
     # read every cell as text first, so that quoting and blanks are uniform
     raw = ", ".join(f"c{i} string" for i in range(len(attributes)))
-    body = lines.where(~F.col("value").rlike(_IS_HEADER)).select(
+    is_row = (F.col("_start") > F.col("_data")) & ~F.col("value").rlike(r"^\s*(?:%|$)")
+    body = lines.where(is_row).select(
         "_file", F.from_csv("value", raw, {"quote": "'", "ignoreLeadingWhiteSpace": "true",
                                            "ignoreTrailingWhiteSpace": "true"}).alias("r"))
     cells = []
