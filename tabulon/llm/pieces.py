@@ -29,11 +29,14 @@ MAX_PIECES = 1_000_000
 #: Code points of a lattice; a longer word is cut every so many and each part encoded.
 MAX_WORD = 128
 #: Bytes of text whose distinct words are encoded together, and words of a row batch.
-BATCH_BYTES, BATCH_WORDS = 32 << 20, 20_000
+BATCH_BYTES, BATCH_WORDS = 12 << 20, 20_000
 #: Space mark, and a lone surrogate that stands for a mark found in a text.
 _MARK, _OWN_MARK = "▁", "\udc81"
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_ENDS = "array<array<struct<start:int,score:double,id:int>>>"
+#: An edge is one number: score in steps, then 8 bits of start, then 24 bits of
+#: piece number, or of the code point with ``_LONE`` set where there is no piece.
+_ENDS = "array<array<long>>"
+_LONE = 1 << 23
 
 
 class Vocabulary:
@@ -82,11 +85,14 @@ class Lattice:
             self.by_length[n] = keys[order], points[order], ids, np.array(v.scores)[ids]
         usual = [v.scores[i] for _, i in real if v.scores[i] > -1e8]
         self.fallback = (min(usual) if usual else 0.0) - 10.0
+        # a word's sum of scores in steps fits in 31 bits
+        largest = max(map(abs, [*usual, self.fallback]))
+        self.steps = 2.0 ** int(np.floor(np.log2((1 << 31) / (largest * (MAX_WORD + 1)))))
 
     def edges(self, words: list[str]):
         """Explode, join, group: (offsets of words in code points, number of
-        edges for each end, starts, scores, ids).  A code point without a piece
-        has an edge with id ``-1 - code point``."""
+        edges for each end, edges).  Pieces with scores below -1e8 are as good as
+        a code point without a piece."""
         sizes = np.array([len(w) for w in words], np.int64)
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -110,29 +116,47 @@ class Lattice:
                 alone[starts] = True
             parts.append((starts, starts + length, scores[place], ids[place]))
         lone = np.flatnonzero(~alone)
-        parts.append((lone, lone + 1, np.full(len(lone), self.fallback), -1 - points[lone].astype(np.int32)))
+        parts.append((lone, lone + 1, np.full(len(lone), self.fallback), _LONE | points[lone].astype(np.int32)))
         starts, ends, scores, ids = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.argsort(ends, kind="stable")
         counts = np.bincount(ends - 1, minlength=n) if n else np.zeros(0, np.int64)
-        return offsets, counts, (starts - begin[starts])[order].astype(np.int32), scores[order], ids[order].astype(np.int32)
+        score = np.rint(np.maximum(scores, self.fallback) * self.steps).astype(np.int64)
+        edges = (score << 32) | ((starts - begin[starts]) << 24) | ids
+        return offsets, counts, edges[order]
 
 
 def viterbi(ends: Column) -> Column:
-    """Piece numbers of the best path: the largest sum of scores, then the fewest
-    pieces, then the later start of the last piece, then the larger number."""
-    state = "array<struct<score:double,n:int,path:array<int>>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("path"))).cast(state)
+    """For each place in a word the best edge that ends there, with the sum of
+    scores up to it: the largest sum, then the later start, then the larger number.
 
-    def step(acc, edges):
-        reached = F.transform(edges, lambda e: F.struct(
-            (F.get(acc, e["start"])["score"] + e["score"]).alias("score"), (F.get(acc, e["start"])["n"] - 1).alias("n"),
-            e["start"].alias("start"), e["id"].alias("id")))
-        best = F.transform(F.array(F.array_max(reached)), lambda b: F.struct(
-            b["score"].alias("score"), b["n"].alias("n"),
-            F.concat(F.get(acc, b["start"])["path"], F.array(b["id"])).alias("path")))
-        return F.concat(acc, best).cast(state)
+    The sum stands in an edge's high bits, so adding an edge to the state at its
+    start (low bits cleared) gives the state at its end."""
+    high = F.lit(-1 << 32)
 
-    return F.aggregate(ends, start, step, lambda acc: F.element_at(acc, -1)["path"])
+    def step(acc, edges):
+        # every place is reached, so an edge always finds the state at its start
+        return F.array_append(acc, F.array_max(F.transform(
+            edges, lambda e: F.get(acc, F.shiftright(e, 24).bitwiseAND(255).cast("int")).bitwiseAND(high) + e)))
+
+    return F.aggregate(ends, F.array(F.lit(0).cast("long")), step)
+
+
+def best_paths(states: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of words, one after the other, and their numbers, read backwards
+    from the last state of every word; ``sizes`` are numbers of states."""
+    first = np.cumsum(sizes) - sizes
+    at, word, back = sizes - 1, np.arange(len(sizes)), []
+    while len(word):
+        state = states[first[word] + at]
+        back.append((word, state & 0xFFFFFF))
+        at = (state >> 24) & 0xFF
+        word, at = word[at > 0], at[at > 0]
+    if not back:
+        return np.zeros(0, np.int64), np.zeros(len(sizes), np.int64)
+    words = np.concatenate([w for w, _ in back])
+    step = np.repeat(np.arange(len(back)), [len(w) for w, _ in back])
+    order = np.lexsort((-step, words))
+    return np.concatenate([p for _, p in back])[order], np.bincount(words, minlength=len(sizes))
 
 
 def _words(text: str) -> list[str]:
@@ -174,10 +198,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
                 del seen
                 for b in range(0, len(words), BATCH_WORDS):
                     some = words[b:b + BATCH_WORDS]
-                    offsets, counts, starts, scores, ids = table.edges(some)
-                    edges = pa.StructArray.from_arrays([pa.array(starts), pa.array(scores), pa.array(ids)],
-                                                       ["start", "score", "id"])
-                    inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), edges)
+                    offsets, counts, edges = table.edges(some)
+                    inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(edges))
                     outer = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner)
                     yield pa.RecordBatch.from_arrays(
                         [*[pa.nulls(len(some), f.type) for f in list(schema)[:-3]],
@@ -208,9 +230,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
                 if mark[a] != number:
                     number, paths, flat = int(mark[a]), [], None
                 if is_word[a]:
-                    piece = path.slice(a, b - a)
-                    sizes = np.diff(piece.offsets.to_numpy())
-                    paths.append(_bytes_spelled(piece.flatten().to_numpy(), sizes, of_byte))
+                    states = path.slice(a, b - a)
+                    codes, n = best_paths(states.flatten().to_numpy(), np.diff(states.offsets.to_numpy()))
+                    paths.append(_bytes_spelled(codes, n, of_byte))
                     continue
                 if flat is None:
                     flat = np.concatenate([np.zeros(0, np.int32), *[f for f, _ in paths]])
@@ -235,13 +257,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
 
 
 def _bytes_spelled(ids: np.ndarray, sizes: np.ndarray, of_byte: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Negative numbers replaced by byte pieces, and the sizes after that."""
-    low = np.flatnonzero(ids < 0)
+    """Code points without a piece replaced by byte pieces, and the sizes after that."""
+    low = np.flatnonzero(ids & _LONE)
     if not len(low):
         return ids.astype(np.int32), sizes
     spelled = {}
     for p in np.unique(ids[low]).tolist():
-        c = chr(-1 - p)
+        c = chr(p & (_LONE - 1))
         spelled[p] = [of_byte[b] for b in (_MARK if c == _OWN_MARK else c).encode()]
     width = np.ones(len(ids), np.int64)
     width[low] = [len(spelled[p]) for p in ids[low].tolist()]
