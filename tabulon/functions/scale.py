@@ -9,6 +9,7 @@ driver (one row per partition, per histogram bin or per fitted column).
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -19,10 +20,13 @@ _SLOT_BITS = 33  # low bits of monotonically_increasing_id hold the row number
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by the session; a temporary one only if none is set."""
+    """Shared folder named by the session; a temporary one only in local mode
+    and if none is set, since executors elsewhere could not reach it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if configured is None and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(
             configured or tempfile.mkdtemp(prefix="tabulon-checkpoint-"))
     return configured or spark.sparkContext.getCheckpointDir()
