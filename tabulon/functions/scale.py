@@ -96,20 +96,28 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
     Every pass counts rows in ``bins`` equal-width bins of the intervals still
     open and narrows each to the bin holding the wanted order statistic, so a
-    pass moves at most ``bins`` rows per open interval.
+    pass moves at most ``bins`` rows per open interval.  Infinite values are
+    counted apart and keep their place below or above all others.
     """
     aggs = [f(c).alias(f"{tag}{i}") for i, c in enumerate(cols)
             for tag, f in (("n", F.count), ("a", F.min), ("b", F.max))]
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    base = base.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in cols])
+    ends = [F.count_if((F.col(c) == v)).alias(f"{tag}{i}") for i, c in enumerate(cols)
+            for tag, v in (("l", -math.inf), ("h", math.inf))]
+    ends = only_row(base.agg(*ends))
+    base = base.select(*[F.when(~F.isnan(c) & (F.abs(c) < math.inf), F.col(c)).alias(c) for c in cols])
     top = only_row(base.agg(*aggs))
+    sizes = [ends[f"l{i}"] + top[f"n{i}"] + ends[f"h{i}"] for i in range(len(cols))]
     found: dict[tuple[int, int], float] = {}
     open_: dict[tuple[int, int], tuple[float, float, int]] = {}
     for i in range(len(cols)):
-        n = top[f"n{i}"]
+        n, low = sizes[i], ends[f"l{i}"]
         for p in probs:
             for rank in {math.floor((n - 1) * p), math.ceil((n - 1) * p)} if n else ():
-                open_[i, rank] = (top[f"a{i}"], top[f"b{i}"], 0)
+                if low <= rank < low + top[f"n{i}"]:
+                    open_[i, rank] = (top[f"a{i}"], top[f"b{i}"], low)
+                else:
+                    found[i, rank] = -math.inf if rank < low else math.inf
     while open_:
         for key, (a, b, _) in list(open_.items()):
             if a == b:
@@ -121,7 +129,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         cells = []
         for s, (i, a, b) in enumerate(spans):
             x = F.col(cols[i])
-            place = F.least(F.floor((x - a) / (b - a) * bins), F.lit(bins - 1)).cast("int")
+            half = 1.0 if math.isfinite(b - a) else 0.5  # the width of a very wide interval overflows
+            place = F.least(F.floor((x * half - a * half) / (b * half - a * half) * bins), F.lit(bins - 1)).cast("int")
             cells.append(F.when((x >= a) & (x <= b),
                                 F.struct(F.lit(s).alias("s"), place.alias("bin"), x.alias("x"))))
         hist: dict[int, list[Row]] = {}
@@ -139,13 +148,17 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                 below += r["n"]
     out: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):
-        n, vals = top[f"n{i}"], []
+        n, vals = sizes[i], []
         for p in probs:
             if not n:
                 vals.append(None)
                 continue
             h = (n - 1) * p
             lo, hi = found[i, math.floor(h)], found[i, math.ceil(h)]
-            vals.append(lo + (hi - lo) * (h - math.floor(h)))
+            t = h - math.floor(h)
+            if lo == hi:
+                vals.append(lo)
+            else:
+                vals.append(lo + (hi - lo) * t if math.isfinite(hi - lo) else lo * (1 - t) + hi * t)
         out[c] = vals
     return out

@@ -125,8 +125,14 @@ def reconstruction_error(df: DataFrame, cols: Sequence[str], reconstructed: str
 
 
 def incremental_pca(batches: Sequence[DataFrame], cols: Sequence[str], k: int | None = None) -> PcaModel:
-    """Components from batches: only their moments are kept."""
-    return pca_from_moments(merge_moments(*[moments(b, cols) for b in batches]), cols, k)
+    """Components from batches: only their moments are kept, taken around the
+    means of the first batch so that data far from zero lose no digits."""
+    first = batches[0].agg(*[F.avg(c).alias(c) for c in cols]).first()
+    shift = {c: float(first[c] or 0.0) for c in cols}
+    parts = [b.select(*[(F.col(c) - shift[c]).alias(c) for c in cols]) for b in batches]
+    model = pca_from_moments(merge_moments(*[moments(b, cols) for b in parts]), cols, k)
+    model.mean = model.mean + np.array([shift[c] for c in cols])
+    return model
 
 
 def project_points(points: DataFrame, cols: Sequence[str], model: PcaModel, name: str = "projected") -> DataFrame:
