@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import scratch_path
-from tabulon.llm import decontamination, fingerprints, jaccard, language, pieces, quality, repeats, secrets, sql, toxicity, warc
+from tabulon.llm import (decontamination, divergence, fingerprints, jaccard, language, pieces, quality, repeats, secrets, sql,
+                         token_counts, toxicity, turns, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +111,29 @@ def op9(spark, sf):
 @query("op2_suffix_dedup")
 def op2(spark, sf):
     return repeats.remove(table(spark, sf, "documents", "doc_id", "text"))
+
+
+@query("op11_conversation_repair", sql.REPAIR)
+def op11(spark, sf):
+    rows = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    fixed = turns.repair(turns.damage(rows))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    ids = rows.select(F.col("conv_id").alias("_id")).distinct()
+    # conversations of which the damage left nothing
+    return ids.join(fixed, F.col("_id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("_id").alias("conv_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+@query("op12_token_counts")
+def op12(spark, sf, limit: int = 4096):
+    import public_tokenizers
+    vocabulary = token_counts.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    counted = token_counts.count(table(spark, sf, "documents", "doc_id", "text"), vocabulary)
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+
+
+@query("op13_source_divergence", sql.DIVERGENCE)
+def op13(spark, sf):
+    return divergence.audit(table(spark, sf, "documents", "text", "lang", "source"))

@@ -67,3 +67,90 @@ least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON a = doc_id
 """
+
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER.format(t="coalesce(text, '')")},
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS df FROM o GROUP BY ALL),
+k AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL HAVING sum(df) >= 10),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+e AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n AS all_n
+  FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+t AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM e GROUP BY ALL),
+p AS (
+  SELECT e.lang, e.source, e.term, e.n, 1 + (1000000000::HUGEINT * (e.n + 2)) // (t.total + 2 * v.v) AS p,
+         1 + (1000000000::HUGEINT * (e.all_n + 2)) // (v.total + 2 * v.v) AS q
+  FROM e JOIN t ON e.lang = t.lang AND e.source = t.source JOIN v ON v.lang = e.lang),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+#: CRC-32 bit by bit, then the cheapest repair from the last turn to the first.
+REPAIR = r"""
+WITH RECURSIVE b AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+x AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(name, ''), lambda c: ord(c)::BIGINT)),
+           lambda s, c: list_reduce(list_concat([xor(s, c)], range(8)),
+             lambda v, k: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 20 AS f FROM b),
+d AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM x WHERE f <> 0),
+o AS (
+  SELECT coalesce(conv_id::VARCHAR, 'null') AS c, turn, role, text, left(role, 1) AS i,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS k,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS w FROM d),
+r AS (
+  SELECT *, w = '' AS blank, w <> '' AND seen AS dup, w <> '' AND NOT seen AND right(w, 1) NOT IN ('.', '!', '?') AS cut,
+         lag(i) OVER (PARTITION BY c ORDER BY k) AS before FROM o),
+n AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY c),
+-- s: for each state (1 nothing yet, 2 after system, 3 after user, 4 after assistant) cost, letters and text of the rest
+z AS (
+  SELECT c, n + 1 AS k, [{'c': 0, 'a': '', 't': ''}, {'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'},
+                         {'c': 2, 'a': 'I', 't': chr(10) || 'assistant:'}, {'c': 0, 'a': '', 't': ''}] AS s FROM n
+  UNION ALL
+  SELECT c, k, list_transform(one, lambda m, q: least(m, {'c': one[nxt[q]].c + 2, 'a': 'I' || one[nxt[q]].a,
+                                                         't': chr(10) || who[q] || ':' || one[nxt[q]].t}))
+  FROM (
+    SELECT c, k, nxt, who, list_transform(bare, lambda m, q: least(m, {'c': bare[nxt[q]].c + 2, 'a': 'I' || bare[nxt[q]].a,
+                                                                       't': chr(10) || who[q] || ':' || bare[nxt[q]].t})) AS one
+    FROM (
+      SELECT c, k, nxt, who, list_transform([1, 2, 3, 4], lambda q: list_min(list_filter([
+          {'c': s[q].c + 3, 'a': 'D' || s[q].a, 't': s[q].t},
+          CASE WHEN go AND keep[q] > 0 THEN {'c': s[keep[q]].c + cut, 'a': 'K' || s[keep[q]].a,
+                                             't': chr(10) || role || ':' || text || s[keep[q]].t} END,
+          CASE WHEN go THEN {'c': s[nxt[q]].c + 2 + cut, 'a': 'R' || s[nxt[q]].a,
+                             't': chr(10) || who[q] || ':' || text || s[nxt[q]].t} END], lambda e: e IS NOT NULL))) AS bare
+      FROM (
+        SELECT z.c, z.k - 1 AS k, z.s, r.role, r.text, r.cut::INT AS cut, NOT (r.blank OR r.dup) AS go,
+               [3, 3, 4, 3] AS nxt, ['user', 'user', 'assistant', 'user'] AS who,
+               CASE r.i WHEN 's' THEN [2, 0, 0, 0] WHEN 'u' THEN [3, 3, 0, 3] WHEN 'a' THEN [0, 0, 4, 0] ELSE [0, 0, 0, 0] END AS keep
+        FROM z JOIN r ON r.c = z.c AND r.k = z.k - 1)))),
+best AS (SELECT c, s[1].c AS cost, s[1].a AS audit, substr(s[1].t, 2) AS whole FROM z WHERE k = 1)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, 'null') AS c FROM conversations) i LEFT JOIN n USING (c) LEFT JOIN best USING (c)
+"""
