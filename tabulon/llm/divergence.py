@@ -23,12 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.llm.common import stored
-from tabulon.llm.factors import by_slice, docs_of, factored, flat, words_of
+from tabulon.llm.factors import answered, by_slice, factored
 
 #: Runs of letters; every byte of a character outside ASCII counts as one.
 _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 #: Shares are in parts of so many.
 UNITS = 1_000_000_000
+#: Bytes of text whose terms are added up at once.
+SLICE_BYTES = 12 << 20
 #: Documents of a language that hold a kept term, at least.
 MIN_DOCS = 10
 #: Expected terms of a bucket and sources of a block.
@@ -36,9 +38,9 @@ BUCKET_TERMS, BLOCK_SOURCES = 4096, 64
 
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:
-    """Groups ``lang``, ``source`` that occur, and the table ``lang``,
-    ``source``, ``term``, ``n_docs``, ``n`` (documents with the term and its
-    occurrences).
+    """Groups ``lang``, ``source`` that occur, and rows ``lang``, ``source``,
+    ``term``, ``n_docs``, ``n`` (documents with the term and its occurrences)
+    that add up to those of the corpus.
 
     Null text, language and source are empty ones.  Every row is a document,
     repeated rows too.  Only A-Z are lower-cased.
@@ -46,59 +48,43 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
                           for c, n in ((text, "text"), (lang, "lang"), (source, "source"))])
     # bytes.split cuts at the six ASCII blanks alone
-    table = factored(plain, "text", ["lang", "source"], lambda: bytes.split, "binary")
-
-    def split(batches):
-        for batch in batches:
-            for b in range(0, batch.num_rows, 5000):
-                chunks = batch.column(0).slice(b, 5000)
-                found = [Counter(_TERM.findall(c.lower())) for c in chunks.to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [chunks, pa.array([[t.decode() for t in f] for f in found], pa.list_(pa.string())),
-                     pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))], names=["word", "terms", "each"])
-
-    words = words_of(table)
-    once = words.select("word").distinct().mapInArrow(split, "word binary, terms array<string>, each array<int>")
-    joined = words.join(once.where(F.size("terms") > 0), "word").select("slice", "docs", "times", "terms", "each")
-    schema = "lang string, source string, term string, n_docs long, n long"
-    counted = by_slice(table, joined, _add_slice, schema)
-    counts = counted.groupBy("lang", "source", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
-    groups = docs_of(table).select("kept.lang", "kept.source").distinct()
-    return groups, stored(counts, "terms")
-
-
-def _add_slice(documents: pa.Table, found: pa.Table) -> pa.Table:
+    table = factored(plain, "text", ["lang", "source"], lambda: bytes.split, limit=SLICE_BYTES)
+
+    def terms():
+        # a term has no blank, so its chunk's terms are joined by one
+        return lambda chunks: [b" ".join(_TERM.findall(c.lower())) for c in chunks]
+
+    counts = by_slice(table, answered(table, terms), _add_slice, "lang string, source string, term string, n_docs long, n long")
+    groups = table.where(F.col("words").isNull()).select(F.inline("kept")).distinct()
+    return groups, counts
+
+
+def _add_slice(rows: pa.Array, n_bytes: pa.Array, answers: list[bytes], n_docs, places, times) -> pa.Table:
     """Documents and occurrences of the terms of a slice by group."""
-    kept = documents["kept"].to_pylist()
+    kept = rows.to_pylist()
     names = sorted({(k["lang"], k["source"]) for k in kept})
     number = {g: i for i, g in enumerate(names)}
-    group = np.zeros(documents.num_rows, np.int64)
-    group[documents["doc"].to_numpy()] = [number[k["lang"], k["source"]] for k in kept]
-    places, n_docs = flat(found["docs"])
-    times, _ = flat(found["times"])
-    spelled, n_terms = flat(found["terms"])
-    each, _ = flat(found["each"])
+    group = np.array([number[k["lang"], k["source"]] for k in kept], np.int64)
+    n_terms = np.fromiter((a.count(b" ") + (a != b"") for a in answers), np.int64, len(answers))
     seen: dict = {}
-    term = np.fromiter((seen.setdefault(t, len(seen)) for t in spelled), np.int64, len(spelled))
-    # one entry for every document of the row of every term
-    row = np.repeat(np.arange(len(n_terms)), n_terms)
-    reps = n_docs[row]
+    term = np.fromiter((seen.setdefault(t, len(seen)) for a in answers for t in a.split()), np.int64, int(n_terms.sum()))
+    # one entry for every document of the chunk of every term
+    chunk = np.repeat(np.arange(len(answers)), n_terms)
+    answers.clear()
+    reps = n_docs[chunk]
     upto = np.cumsum(reps)
-    at = np.repeat((np.cumsum(n_docs) - n_docs)[row] - (upto - reps), reps) + np.arange(int(reps.sum()))
-    key = np.repeat(term, reps) * max(1, len(group)) + places[at]
-    occurred = times[at].astype(np.int64) * np.repeat(each, reps)
-    key, back = np.unique(key, return_inverse=True)  # a document and a term meet once
+    at = np.repeat((np.cumsum(n_docs) - n_docs)[chunk] - (upto - reps), reps) + np.arange(int(reps.sum()))
+    key, back = np.unique(np.repeat(term, reps) * len(group) + places[at], return_inverse=True)  # a document and a term meet once
     total = np.zeros(len(key), np.int64)
-    np.add.at(total, back, occurred)
-    cell = key // max(1, len(group)) * len(names) + group[key % max(1, len(group))]
-    cell, back = np.unique(cell, return_inverse=True)
+    np.add.at(total, back, times[at])
+    del at, back, reps, upto, chunk, term
+    cell, back = np.unique(key // len(group) * len(names) + group[key % len(group)], return_inverse=True)
     n = np.zeros(len(cell), np.int64)
     np.add.at(n, back, total)
-    terms = np.array(list(seen), object)
-    which = cell % max(1, len(names))
+    spelled, which = list(seen), (cell % len(names)).tolist()
     return pa.table({
         "lang": pa.array([names[i][0] for i in which], pa.string()), "source": pa.array([names[i][1] for i in which], pa.string()),
-        "term": pa.array(terms[cell // max(1, len(names))].tolist() if len(cell) else [], pa.string()),
+        "term": pa.array([spelled[i].decode() for i in (cell // len(names)).tolist()], pa.string()),
         "n_docs": pa.array(np.bincount(back, minlength=len(cell)).astype(np.int64)), "n": pa.array(n)})
 
 
@@ -131,12 +117,15 @@ def audit(docs: DataFrame, top: int = 10, min_docs: int = MIN_DOCS, **columns: s
     ``columns`` name the columns ``text``, ``lang`` and ``source``; null counts
     as empty, other columns of any name are not read.
     """
-    groups, counts = term_counts(docs, **columns)
-    kept = counts.groupBy("lang", "term").agg(F.sum("n_docs").alias("df"), F.sum("n").alias("all")).where(
-        F.col("df") >= min_docs).select(F.col("lang").alias("l"), F.col("term").alias("t"), "all")
-    by_lang = kept.groupBy("l").agg(F.count("*").alias("kept"), F.sum("all").alias("lang_total"))
-    entries = counts.join(kept, (F.col("lang") == F.col("l")) & (F.col("term") == F.col("t"))).select(
-        "lang", "source", "term", "n", "all")
+    groups, parts = term_counts(docs, **columns)
+    # dealt by language and term once: sums by source and sums over sources follow without another shuffle
+    counts = parts.repartition("lang", "term").groupBy("lang", "term", "source").agg(
+        F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+    of_term = Window.partitionBy("lang", "term")
+    entries = stored(counts.withColumns({"df": F.sum("n_docs").over(of_term), "all": F.sum("n").over(of_term)}).where(
+        F.col("df") >= min_docs).select("lang", "source", "term", "n", "all"), "entries")
+    each = entries.groupBy("lang", "term").agg(F.max("all").alias("all"))
+    by_lang = each.groupBy(F.col("lang").alias("l")).agg(F.count("*").alias("kept"), F.sum("all").alias("lang_total"))
     totals = entries.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     sources = groups.groupBy("lang").agg(F.count("*").alias("sources")).withColumnRenamed("lang", "l2")
     zero = F.lit(0).cast("long")

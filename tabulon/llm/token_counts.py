@@ -1,12 +1,12 @@
 """Numbers of tokens without token ids.
 
 Every text falls into pre-tokens that no piece of the vocabulary crosses.  The
-tokenizer counts the pieces of each pre-token of the corpus once; the counts
-are joined to the documents' pre-token frequencies and summed.
+tokenizer counts the pieces of each distinct pre-token of the corpus once; the
+counts are joined to the documents' pre-token frequencies and summed.
 
 A pre-token is a run of spaces with what follows it.  It ends before the next
 space, since no piece has a space after another character (checked when the
-vocabulary is loaded).  One longer than ``LONG`` code points is cut further
+vocabulary is loaded).  One longer than ``LONG`` bytes is cut further
 wherever no piece holds the two code points beside the cut.  Pieces only ever
 come from joining neighbours into longer pieces of the vocabulary, so the
 pieces of a text are those of its pre-tokens.
@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.llm.common import fresh
-from tabulon.llm.factors import by_slice, factored, flat, words_of
+from tabulon.llm.factors import answered, by_slice, factored
 
 _MARK = "▁"
-#: Code points of a pre-token that is left whole without a look for cuts.
+#: Bytes of a pre-token that is left whole without a look for cuts.
 LONG = 64
-_WORD = re.compile(" +[^ ]*")
+_WORD = re.compile(rb" +[^ ]*")
+_MARK_BYTES = _MARK.encode()
 
 
 class Vocabulary:
@@ -67,29 +68,32 @@ class Vocabulary:
         return np.unique(np.array([ord(a) << 21 | ord(b) for p in self._pieces() for a, b in zip(p, p[1:], strict=False)], np.int64))
 
     def counter(self):
-        """Function from pre-tokens to their numbers of pieces.  The anchor in
-        front takes the space that the library puts there."""
+        """Function from pre-tokens in UTF-8 to their numbers of pieces.  The
+        anchor in front takes the space that the library puts there."""
         processor, anchor, less = self.processor(), self.anchor, self.anchor_size
-        return lambda words: [len(ids) - less for ids in processor.encode([anchor + w for w in words], num_threads=1)]
+        return lambda words: [len(ids) - less for b in range(0, len(words), 5000) for ids in processor.encode(
+            [anchor + w.decode() for w in words[b:b + 5000]], num_threads=1)]
 
 
 def splitter(vocabulary: Vocabulary):
-    """Function from a text to its pre-tokens; joined they are the text after a
-    space, with space marks as spaces."""
+    """Function from a text in UTF-8 to its pre-tokens; joined they are the text
+    after a space, with space marks as spaces."""
     pairs = None
 
-    def cut(word: str) -> list[str]:
+    def cut(word: bytes) -> list[bytes]:
         nonlocal pairs
         if pairs is None:
             pairs = vocabulary.pairs()
-        points = np.frombuffer(word.replace(" ", _MARK).encode("utf-32-le"), np.uint32).astype(np.int64)
+        points = np.frombuffer(word.replace(b" ", _MARK_BYTES).decode().encode("utf-32-le"), np.uint32).astype(np.int64)
         beside = points[:-1] << 21 | points[1:]
         apart = pairs[np.minimum(np.searchsorted(pairs, beside), len(pairs) - 1)] != beside
-        at = [0, *(np.flatnonzero(apart) + 1).tolist(), len(word)]
+        sizes = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+        sizes[points == ord(_MARK)] = 1
+        at = [0, *np.cumsum(sizes)[:-1][apart].tolist(), len(word)]
         return [word[a:b] for a, b in zip(at, at[1:], strict=False)]
 
-    def split(text: str) -> list[str]:
-        words = _WORD.findall(" " + text.replace(_MARK, " "))
+    def split(text: bytes) -> list[bytes]:
+        words = _WORD.findall(b" " + text.replace(_MARK_BYTES, b" "))
         if max(map(len, words)) > LONG:
             words = [p for w in words for p in (cut(w) if len(w) > LONG else (w,))]
         return words
@@ -110,29 +114,20 @@ def count(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: Seq
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary.model)
     kept = docs.select(*keep)
     n_bytes, n_tokens = fresh(kept, "n_bytes"), fresh(kept, "n_tokens")
-    table = factored(docs, text, keep, lambda: splitter(Vocabulary(sent.value)), "string")
+    table = factored(docs, text, keep, lambda: splitter(Vocabulary(sent.value)))
 
-    def sizes(batches):
+    def sizes():
         pieces = Vocabulary(sent.value).counter()
-        for batch in batches:
-            for b in range(0, batch.num_rows, 5000):
-                words = batch.column(0).slice(b, 5000)
-                yield pa.RecordBatch.from_arrays([words, pa.array(pieces(words.to_pylist()), pa.int64())], names=["word", "pieces"])
-
-    words = words_of(table)
-    once = words.select("word").distinct().mapInArrow(sizes, "word string, pieces long")
-    joined = words.join(once, "word").select("slice", "docs", "times", "pieces")
-    schema = T.StructType([table.schema["kept"], *T._parse_datatype_string("n_bytes long, n_tokens long").fields])
-
-    def add(documents: pa.Table, found: pa.Table) -> pa.Table:
-        places, lengths = flat(found["docs"])
-        times, _ = flat(found["times"])
-        of_word = np.repeat(found["pieces"].to_numpy(), lengths)
-        at = documents["doc"].to_numpy()
-        total = np.zeros(documents.num_rows, np.int64)
-        np.add.at(total, places, times.astype(np.int64) * of_word)
-        return pa.table({"kept": documents["kept"], "n_bytes": documents["n_bytes"], "n_tokens": pa.array(total[at], pa.int64())})
-
-    counted = by_slice(table, joined, add, schema)
+        return lambda words: [str(n).encode() for n in pieces(words)]
+
+    def add(rows: pa.Array, n_bytes: pa.Array, answers: list[bytes], n_docs, places, times) -> pa.Table:
+        pieces = np.repeat(np.array(answers, dtype="S").astype(np.int64) if answers else np.zeros(0, np.int64), n_docs)
+        total = np.zeros(len(rows), np.int64)
+        np.add.at(total, places, times * pieces)
+        return pa.table({"kept": rows, "n_bytes": n_bytes, "n_tokens": pa.array(total)})
+
+    schema = T.StructType([T.StructField("kept", table.schema["kept"].dataType.elementType),
+                           *T._parse_datatype_string("n_bytes long, n_tokens long").fields])
+    counted = by_slice(table, answered(table, sizes), add, schema)
     return counted.select(*[F.col("kept").getField(c).alias(c) for c in kept.columns],
                           F.col("n_bytes").alias(n_bytes), F.col("n_tokens").alias(n_tokens))
