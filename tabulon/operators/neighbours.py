@@ -1,25 +1,35 @@
 """Exact k nearest neighbours and voting (K1-K4).
 
-Training rows are grouped into cells around a bounded set of pivot rows. For a
-test row, counts and radii of the cells give an upper bound of its k-th
-distance, and by the triangle inequality only cells that can hold a closer row
-are visited: exact for every Minkowski r >= 1. Large cells are hashed into
-blocks of bounded size on both sides, so one task never sees more than a block
-pair, and every pair of blocks returns at most k rows per test row.
+Training rows lie in the cells of a two-level tree of pivots, whose number
+grows with the rows.  For a test row, counts and radii of the upper cells bound
+its k-th distance, and by the triangle inequality whole branches fall away; the
+lower cells of those left sharpen the bound and only cells that can hold a
+closer row are visited: exact for every Minkowski r >= 1.  Distances of several
+orders share the tree and the visits.
+
+Equal training rows are first thinned to those that can be neighbours at all, so
+a point that is everywhere costs no more than its k first rows.  The rows of one
+branch of one group are dealt into as many blocks as this branch needs, on both
+sides; a task sees one pair of blocks, compares a test row with the cells that
+it visits, and returns at most k rows for it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.functions.scale import bounded_rows, cut_lineage
+
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 512
-ROWS_PER_PIVOT = 1000
+#: Rows of a lower cell, and bounds of what is broadcast: pivots, bytes of them, cells of all groups.
+ROWS_PER_PIVOT = 256
+MAX_PIVOTS, PIVOT_BYTES, MAX_SLOTS = 1 << 16, 32 << 20, 1 << 19
+MAX_GROUPS = 100_000
 DIGITS = 9  # distances are compared after rounding, so ties do not depend on summation order
 
 
@@ -32,128 +42,337 @@ def feature_array(cols: Sequence[str] | str) -> Column:
 def _distances(a: np.ndarray, b: np.ndarray, r: int) -> np.ndarray:
     """|a_i - b_j| for all i, j, in slices of bounded memory."""
     out = np.empty((len(a), len(b)))
-    step = max(1, 2_000_000 // max(1, b.size))
+    step = max(1, 250_000 // max(1, b.size))
     for s in range(0, len(a), step):
-        diff = np.abs(a[s:s + step, None, :] - b[None, :, :])
-        if r == 1:
-            out[s:s + step] = diff.sum(-1)
-        elif r == 2:
+        diff = a[s:s + step, None, :] - b[None, :, :]
+        if r == 2:
             out[s:s + step] = np.sqrt((diff * diff).sum(-1))
-        else:
-            out[s:s + step] = (diff ** r).sum(-1) ** (1.0 / r)
+            continue
+        np.abs(diff, out=diff)
+        power = diff.copy() if r > 1 else diff
+        for _ in range(r - 1):
+            power *= diff
+        out[s:s + step] = power.sum(-1) ** (1.0 / r) if r > 1 else power.sum(-1)
     return out
 
 
-def _pick_pivots(train: DataFrame, n: int) -> np.ndarray:
-    rows = train.select("_id", "_x").orderBy(F.xxhash64("_id"), "_id").limit(n).collect()
-    return np.unique(np.array([r["_x"] for r in rows], float), axis=0)
-
-
-def _to_pivots(pivots: np.ndarray, r: int):
-    @F.pandas_udf("struct<cell: int, gap: double>")
-    def nearest(x: pd.Series) -> pd.DataFrame:
-        if x.empty:
-            return pd.DataFrame({"cell": [], "gap": []})
-        d = _distances(np.stack(x.to_numpy()), pivots, r)
-        return pd.DataFrame({"cell": d.argmin(1), "gap": d.min(1)})
-    return nearest
-
-
-def _visits(pivots: np.ndarray, counts: np.ndarray, radius: np.ndarray, r: int, k: int):
-    """Cells a test row must visit; counts are already net of the largest group
-    the row might have to skip."""
-    @F.pandas_udf("array<int>")
-    def cells(x: pd.Series) -> pd.Series:
-        if x.empty:
-            return pd.Series([], dtype=object)
-        d = _distances(np.stack(x.to_numpy()), pivots, r)
-        far = d + radius
+class _Tree:
+    """Pivots in two levels: ``lower`` pivots, sorted by the one of ``upper``
+    that each is nearest to; ``first`` has where the branches start."""
+
+    def __init__(self, points: np.ndarray, rs: Sequence[int]):
+        n = max(1, int(np.ceil(np.sqrt(len(points)))))
+        self.rs, self.upper = tuple(rs), points[:n]
+        parent = _distances(points, self.upper, self.rs[0]).argmin(1)
+        order = np.argsort(parent, kind="stable")
+        self.lower, self.parent = points[order], parent[order]
+        self.first = np.searchsorted(self.parent, np.arange(n + 1))
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """Lower cell of each row: the nearest pivot within the nearest branch."""
+        branch = _distances(x, self.upper, self.rs[0]).argmin(1)
+        cell = np.empty(len(x), np.int64)
+        for t in np.unique(branch).tolist():
+            rows = np.flatnonzero(branch == t)
+            cell[rows] = self.first[t] + _distances(x[rows], self.lower[self.first[t]:self.first[t + 1]], self.rs[0]).argmin(1)
+        return cell
+
+    def gaps(self, x: np.ndarray, cell: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distances to the pivots of both levels."""
+        far = lambda p: _paired(x, p, r)
+        return far(self.lower[cell]), far(self.upper[self.parent[cell]])
+
+
+def _paired(a: np.ndarray, b: np.ndarray, r: int) -> np.ndarray:
+    return (np.abs(a - b) ** r).sum(-1) ** (1.0 / r)
+
+
+class _Cells:
+    """Rows and radii of the cells of every group; ``rows`` are already net of
+    the largest set that a test row might have to skip."""
+
+    def __init__(self, tree: _Tree, groups: int, k: int, stats: list):
+        self.tree, self.k, m, n = tree, k, len(tree.lower), len(tree.upper)
+        self.rows, self.all = np.zeros((groups, m)), np.zeros((groups, m), np.int64)
+        self.radius = np.full((len(tree.rs), groups, m), -np.inf)
+        self.upper_radius = np.full((len(tree.rs), groups, n), -np.inf)
+        for s in stats:
+            g, c = s["_g"], s["_cell"]
+            self.rows[g, c], self.all[g, c] = s["n"] - s["lost"], s["n"]
+            for i in range(len(tree.rs)):
+                self.radius[i, g, c] = s[f"low{i}"]
+                t = tree.parent[c]
+                self.upper_radius[i, g, t] = max(self.upper_radius[i, g, t], s[f"up{i}"])
+        self.upper_rows = np.add.reduceat(self.rows, tree.first[:-1], axis=1) if m else self.rows
+        self.upper_rows[:, np.diff(tree.first) == 0] = 0
+
+    def visits(self, x: np.ndarray, g: np.ndarray) -> Iterator[tuple[int, list[np.ndarray], list[np.ndarray]]]:
+        """From a row on, the cells that each row must visit and for which orders
+        (as bits); some rows at a time."""
+        step = max(1, 2_000_000 // len(self.tree.lower))
+        for s in range(0, len(x), step):
+            found = [self._visits(x[s:s + step], g[s:s + step], i) for i in range(len(self.tree.rs))]
+            m, n = len(self.tree.lower), len(x[s:s + step])
+            keys = np.concatenate([row * m + cell for row, cell in found])
+            bits = np.concatenate([np.full(len(row), 1 << i) for i, (row, _) in enumerate(found)])
+            keys, back = np.unique(keys, return_inverse=True)
+            ends = np.searchsorted(keys // m, np.arange(1, n))
+            yield s, np.split(keys % m, ends), np.split(np.bincount(back, bits, len(keys)).astype(np.int64), ends)
+
+    def _visits(self, x: np.ndarray, g: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
+        tree, r = self.tree, self.tree.rs[i]
+        gap, radius = _distances(x, tree.upper, r), self.upper_radius[i][g]
+        far = gap + radius
         order = np.argsort(far, axis=1)
-        held = np.cumsum(counts[order], axis=1)
-        enough = held >= k
-        first = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
-        bound = np.where(first >= 0, np.take_along_axis(far, order, 1)[np.arange(len(d)), first], np.inf)
-        reach = d - radius <= bound[:, None] + 1e-6
-        return pd.Series([np.flatnonzero(m).astype("int32").tolist() for m in reach])
-    return cells
-
-
-def knn(train: DataFrame, test: DataFrame, k: int, r: int = 2, *, key: str = "row_id",
+        held = np.cumsum(np.take_along_axis(self.upper_rows[g], order, 1), axis=1)
+        enough = held >= self.k
+        first = enough.argmax(axis=1)
+        bound = np.where(enough.any(axis=1), np.take_along_axis(far, order, 1)[np.arange(len(x)), first], np.inf)
+        open_ = (gap - radius <= bound[:, None] + 1e-6) & (radius > -np.inf)
+        rows, cells, gaps = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for t in np.flatnonzero(open_.any(axis=0)).tolist():
+            some = np.flatnonzero(open_[:, t])
+            lower = np.arange(tree.first[t], tree.first[t + 1])
+            gaps.append(_distances(x[some], tree.lower[lower], r).ravel())
+            rows.append(np.repeat(some, len(lower)))
+            cells.append(np.tile(lower, len(some)))
+        row, cell, gap = np.concatenate(rows), np.concatenate(cells), np.concatenate(gaps)
+        there = self.all[g[row], cell] > 0
+        row, cell, gap = row[there], cell[there], gap[there]
+        radius = self.radius[i][g[row], cell]
+        order = np.lexsort((gap + radius, row))
+        far = (gap + radius)[order]
+        held = np.cumsum(self.rows[g[row], cell][order])
+        start = np.searchsorted(row[order], np.arange(len(x) + 1))
+        base = np.concatenate([[0.0], held])[start[:-1]]
+        reached = held - base[row[order]] >= self.k
+        # of each row the first place where enough rows are held
+        place = np.flatnonzero(reached)
+        owner, at = np.unique(row[order][place], return_index=True)
+        bound[owner] = np.minimum(bound[owner], far[place[at]])
+        keep = gap - radius <= bound[row] + 1e-6
+        return row[keep], cell[keep]
+
+
+def _sample(base: DataFrame, rows: int, wanted: int) -> np.ndarray:
+    """About ``wanted`` different points, by hash of the key; all if there are no more."""
+    share = min(1.0, (1.2 * wanted + 16) / max(1, rows))
+    some = base.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else base
+    got = some.select(F.xxhash64("_id").alias("h"), "_x").limit(2 * wanted + 64).collect() or \
+        base.select(F.lit(0).alias("h"), "_x").limit(1).collect()
+    points = np.array([r["_x"] for r in sorted(got, key=lambda r: (r["h"], r["_x"]))], float)
+    if not len(points):
+        return points
+    _, first = np.unique(points, axis=0, return_index=True)
+    return points[np.sort(first)][:wanted]
+
+
+def _thinned(base: DataFrame, k: int, alone: bool) -> DataFrame:
+    """Of equal rows those that can be among the k nearest: the first k of each
+    set that a test row may skip, or k + 1 where such sets are single rows."""
+    same = ["_g", "_x"] if alone else ["_g", "_x", "_skip"]
+    place = F.row_number().over(Window.partitionBy(*same).orderBy("_id"))
+    return base.withColumn("_place", place).where(F.col("_place") <= k + alone).drop("_place")
+
+
+def knn(train: DataFrame, test: DataFrame, k: int, r: int | Sequence[int] = 2, *, key: str = "row_id",
         features: Sequence[str] | str = "features", label: str = "label", by: Sequence[str] = (),
         exclude: str | None = None, pivots: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(by..., test_id, rank, train_id, distance, label): ranks 1..k by
     (distance, training key).
 
-    ``by``: neighbours only within equal values of these (bounded) columns.
+    ``r``: order of the distance; several orders give a column ``r`` too, and
+    share all passes over the rows.
+    ``by``: neighbours only within equal values of these columns, of which there
+    are at most ``MAX_GROUPS``.
     ``exclude``: rows sharing this value are never neighbours (the row itself
-    for leave-one-out, the fold for cross-validation)."""
-    by = list(by)
+    for leave-one-out, the fold for cross-validation).
+    A training row with a missing or NaN feature is no neighbour.  A test row of
+    that kind, or one without any neighbour, has one row of rank 1 whose
+    ``train_id``, ``distance`` and ``label`` are null if it is of that kind, and
+    none otherwise."""
+    by, rs = list(by), [r] if isinstance(r, int) else list(r)
     skip = F.col(exclude).cast("string") if exclude else F.lit(None).cast("string")
     keys = [F.col(c).alias(c) for c in by]  # fresh columns: both sides may come from one frame
     base = train.select(*keys, F.col(key).alias("_id"), feature_array(features).alias("_x"),
                         F.col(label).alias("_y"), skip.alias("_skip"))
     probe = test.select(*keys, F.col(key).alias("_id"), feature_array(features).alias("_x"), skip.alias("_skip"))
-    if pivots is None:
-        pivots = 1 if by else base.count() // ROWS_PER_PIVOT
-    n_pivots = max(1, min(pivots, MAX_PIVOTS))
-    centre = _pick_pivots(base, n_pivots) if n_pivots > 1 else None
-    if centre is None or len(centre) < 2:
-        largest = base.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-        probes = probe.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-        base_parts, probe_parts = [-(-largest // block_rows) or 1], [-(-probes // block_rows) or 1]
-        base = base.withColumn("_cell", F.lit(0))
-        probe = probe.withColumn("_cell", F.lit(0))
+    whole = ~F.exists("_x", lambda v: v.isNull() | F.isnan(v))
+    base = base.where(F.coalesce(whole, F.lit(False)))
+    groups = 1
+    if by:
+        listed = bounded_rows(base.select(*by).distinct(), MAX_GROUPS, "groups of neighbours")
+        groups = max(1, len(listed))
+        numbers = base.sparkSession.createDataFrame(
+            [(*row, i) for i, row in enumerate(listed)],
+            ", ".join([*[f"_by{j} {dict(base.dtypes)[c]}" for j, c in enumerate(by)], "_g int"]))
+
+        def numbered(df):
+            same = [F.col(c).eqNullSafe(F.col(f"_by{j}")) for j, c in enumerate(by)]
+            return df.join(F.broadcast(numbers), same, "left").drop(*[f"_by{j}" for j in range(len(by))])
     else:
-        placed = base.withColumn("_p", _to_pivots(centre, r)("_x"))
-        base = placed.select(*by, "_id", "_x", "_y", "_skip", F.col("_p.cell").alias("_cell"), F.col("_p.gap").alias("_gap"))
-        # per cell: rows, radius and the largest group a test row may have to skip
-        if exclude is None:
-            stats = base.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_gap").alias("radius"),
-                                              F.lit(0).cast("bigint").alias("skip"))
-        else:
-            stats = base.groupBy("_cell", "_skip").agg(F.count("*").alias("n"), F.max("_gap").alias("radius")).groupBy(
-                "_cell").agg(F.sum("n").alias("n"), F.max("radius").alias("radius"), F.max("n").alias("skip"))
-        n, radius, lost = np.zeros(len(centre)), np.full(len(centre), -np.inf), np.zeros(len(centre))
-        for s in stats.collect():  # one row per pivot
-            n[s["_cell"]], radius[s["_cell"]], lost[s["_cell"]] = s["n"], s["radius"], s["skip"]
-        probe = probe.withColumn("_cell", F.explode(_visits(centre, n - lost, radius, r, k)("_x")))
-        visits = {v["_cell"]: v["n"] for v in probe.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
-        base_parts = [int(-(-c // block_rows)) or 1 for c in n]
-        probe_parts = [-(-visits.get(c, 0) // block_rows) or 1 for c in range(len(centre))]
-        base = base.drop("_gap")
-
-    def parts(values: list[int]) -> Column:
-        return F.get(F.lit(values).cast("array<bigint>"), F.col("_cell"))
-
-    def all_of(values: list[int]) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), parts(values) - 1))
-
-    left = probe.withColumn("_t", F.pmod(F.xxhash64("_id"), parts(probe_parts))).withColumn("_b", all_of(base_parts))
-    right = base.withColumn("_b", F.pmod(F.xxhash64("_id"), parts(base_parts))).withColumn("_t", all_of(probe_parts))
-    group = [*by, "_cell", "_t", "_b"]
+        def numbered(df):
+            return df.withColumn("_g", F.lit(0))
     types = dict(base.dtypes)
+    base = cut_lineage(_thinned(numbered(base).drop(*by), k, exclude is None or exclude == key))
+    probe = numbered(probe).withColumn("_ok", F.coalesce(whole, F.lit(False)))
+    rows = base.count()
+    width = 8 * max(1, (base.select(F.max(F.size("_x"))).first()[0] or 1))
+    wanted = -(-rows // ROWS_PER_PIVOT) if pivots is None else pivots
+    wanted = max(1, min(wanted, MAX_PIVOTS, PIVOT_BYTES // width, MAX_SLOTS // groups))
+    points = _sample(base, rows, wanted)
     out_cols = [f"{c} {types[c]}" for c in by] + [
-        f"test_id {dict(probe.dtypes)['_id']}", f"train_id {types['_id']}", "distance double", f"label {types['_y']}"]
+        f"test_id {dict(probe.dtypes)['_id']}", f"train_id {types['_id']}", "distance double", f"label {types['_y']}", "r int"]
+    lost = probe.where(~F.col("_ok")).select(
+        *by, F.col("_id").alias("test_id"), F.lit(None).cast(types["_id"]).alias("train_id"),
+        F.lit(None).cast("double").alias("distance"), F.lit(None).cast(types["_y"]).alias("label"),
+        F.explode(F.lit(rs)).alias("r"))
+    if len(points):
+        found = _search(base, probe.where("_ok and _g is not null"), points, groups, k, rs, by, exclude is not None, block_rows, out_cols)
+        lost = found.unionByName(lost)
+    ranked = rank_neighbours(lost, k, [*by, "r"])
+    return ranked.drop("r") if isinstance(r, int) else ranked
+
+
+def _search(base: DataFrame, probe: DataFrame, points: np.ndarray, groups: int, k: int, rs: list[int], by: list[str],
+            skips: bool, block_rows: int, out_cols: list[str]) -> DataFrame:
+    """At most k candidates of each test row from every pair of blocks it meets."""
+    tree = _Tree(points, rs)
+    send = base.sparkSession.sparkContext.broadcast
+    sent = send(tree)
+    gaps = ", ".join(f"_low{i} double, _up{i} double" for i in range(len(rs)))
+
+    def place(frames):
+        for f in frames:
+            if len(f):
+                x = np.stack(f["_x"].to_numpy())
+                f["_cell"] = sent.value.place(x)
+                for i, r in enumerate(rs):
+                    f[f"_low{i}"], f[f"_up{i}"] = sent.value.gaps(x, f["_cell"].to_numpy(), r)
+                yield f.drop(columns=["_x"])
+
+    placed = base.select("_g", "_skip", "_x").mapInPandas(place, f"_g int, _skip string, _cell long, {gaps}")
+    tops = [F.max(f"_{c}{i}").alias(f"{c}{i}") for i in range(len(rs)) for c in ("low", "up")]
+    again = [F.max(f"{c}{i}").alias(f"{c}{i}") for i in range(len(rs)) for c in ("low", "up")]
+    if skips:  # the largest set that a test row may have to skip
+        stats = placed.groupBy("_g", "_cell", "_skip").agg(F.count("*").alias("n"), *tops).groupBy("_g", "_cell").agg(
+            F.max("n").alias("lost"), F.sum("n").alias("n"), *again)
+    else:
+        stats = placed.groupBy("_g", "_cell").agg(F.count("*").alias("n"), F.lit(0).alias("lost"), *tops)
+    cells = _Cells(tree, groups, k, stats.collect())  # at most MAX_SLOTS rows
+    sent_cells = send(cells)
+
+    def visit(frames):
+        for f in frames:
+            if len(f):
+                for s, which, bits in sent_cells.value.visits(np.stack(f["_x"].to_numpy()), f["_g"].to_numpy()):
+                    out = f.iloc[s:s + len(which)].copy()
+                    out["_cells"], out["_bits"] = which, bits
+                    yield out
+
+    probe = probe.drop("_ok")
+    types = dict(probe.dtypes)
+    shape = ", ".join(f"`{c}` {types[c]}" for c in probe.columns) + ", _cells array<long>, _bits array<long>"
+    visits = cut_lineage(probe.mapInPandas(visit, shape))
+
+    def branches(f: pd.DataFrame):
+        """Row and branch of every visit to a branch, with its cells and bits."""
+        row = np.repeat(np.arange(len(f)), f["_cells"].map(len).to_numpy())
+        cell, bits = (np.concatenate([np.zeros(0, np.int64), *f[c]]) for c in ("_cells", "_bits"))
+        branch = sent.value.parent[cell]
+        start = np.flatnonzero(np.diff(row, prepend=-1) | np.diff(branch, prepend=-1))
+        parts = [np.split(v, start[1:]) if len(start) else [] for v in (cell, bits)]
+        return row[start], branch[start], *parts
+
+    def count(frames):
+        for f in frames:
+            row, branch, _, _ = branches(f)
+            slot, n = np.unique(f["_g"].to_numpy()[row].astype(np.int64) * upper + branch, return_counts=True)
+            yield pd.DataFrame({"slot": slot, "n": n})
+
+    # a branch of a group has the blocks it needs: a third of the rows may meet in one
+    upper = len(tree.upper)
+    held = np.add.reduceat(np.pad(cells.all, ((0, 0), (0, 1))), tree.first[:-1], axis=1) * (np.diff(tree.first) > 0)
+    met = np.zeros(groups * upper, np.int64)
+    for v in visits.select("_g", "_cells", "_bits").mapInPandas(count, "slot long, n long").groupBy("slot").agg(
+            F.sum("n").alias("n")).collect():  # at most MAX_SLOTS rows
+        met[v["slot"]] = v["n"]
+    sent_blocks = send((-(-held.ravel() // block_rows), -(-met // block_rows)))
+
+    def deal(f: pd.DataFrame, branch: np.ndarray, own: int) -> pd.DataFrame:
+        """The row's own block by hash, and one copy for each block of the other side."""
+        slot = f["_g"].to_numpy().astype(np.int64) * upper + branch
+        mine, other = sent_blocks.value[own][slot], sent_blocks.value[1 - own][slot]
+        row = np.repeat(np.arange(len(f)), other)
+        copy = np.arange(len(row)) - np.repeat(np.cumsum(other) - other, other)
+        block = (f["_h"].to_numpy() % np.maximum(mine, 1))[row]
+        out = f.iloc[row].drop(columns=["_h"])
+        out["_branch"] = branch[row]
+        out["_b"], out["_t"] = (block, copy) if own == 0 else (copy, block)
+        return out
+
+    def deal_tests(frames):
+        for f in frames:
+            for s in range(0, len(f), 2000):
+                some = f.iloc[s:s + 2000]
+                row, branch, which, bits = branches(some)
+                some = some.iloc[row].copy()
+                some["_cells"], some["_bits"] = which, bits
+                yield deal(some, branch, 1)
+
+    def deal_training(frames):
+        for f in frames:
+            if len(f):
+                f["_cell"] = sent.value.place(np.stack(f["_x"].to_numpy()))
+                yield deal(f, sent.value.parent[f["_cell"].to_numpy()], 0)
+
+    hashed = F.shiftrightunsigned(F.xxhash64("_id"), 1).alias("_h")
+    base_types, where = dict(base.dtypes), "_branch long, _b long, _t long"
+    left = visits.select("*", hashed).mapInPandas(deal_tests, f"{shape}, {where}")
+    right = base.select("_g", "_id", "_x", "_y", "_skip", hashed).mapInPandas(
+        deal_training, f"_g int, _id {base_types['_id']}, _x array<double>, _y {base_types['_y']}, _skip string, _cell long, {where}")
+    group = ["_g", "_branch", "_t", "_b"]
+    names = [c.split()[0] for c in out_cols]
 
     def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        names = [c.split()[0] for c in out_cols]
         if a.empty or b.empty:
             return pd.DataFrame(columns=names)
         b = b.sort_values("_id")
-        d = np.round(_distances(np.stack(a["_x"].to_numpy()), np.stack(b["_x"].to_numpy()), r), DIGITS)
-        if exclude is not None:
-            d[a["_skip"].to_numpy()[:, None] == b["_skip"].to_numpy()[None, :]] = np.inf
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
-        width = best.shape[1]
-        dist = np.take_along_axis(d, best, 1).ravel()
-        out = pd.DataFrame({c: np.repeat(a[c].to_numpy(), width) for c in by})
-        out["test_id"] = np.repeat(a["_id"].to_numpy(), width)
-        out["train_id"] = b["_id"].to_numpy()[best].ravel()
-        out["distance"], out["label"] = dist, b["_y"].to_numpy()[best].ravel()
-        return out[np.isfinite(dist)]
-
-    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(nearest, ", ".join(out_cols))
-    return rank_neighbours(found, k, by)
+        x, y, cell = np.stack(a["_x"].to_numpy()), np.stack(b["_x"].to_numpy()), b["_cell"].to_numpy()
+        row = np.repeat(np.arange(len(a)), a["_cells"].map(len).to_numpy())
+        visited, bits = np.concatenate(a["_cells"].to_list()), np.concatenate(a["_bits"].to_list())
+        columns = {c: np.flatnonzero(cell == c) for c in np.unique(cell).tolist()}
+        parts = []
+        for i, r in enumerate(rs):
+            d = np.full((len(x), len(y)), np.inf)
+            for c, there in columns.items():
+                some = row[(visited == c) & (bits >> i & 1 == 1)]
+                if len(some):
+                    d[np.ix_(some, there)] = np.round(_distances(x[some], y[there], r), DIGITS)
+            if skips:
+                d[a["_skip"].to_numpy()[:, None] == b["_skip"].to_numpy()[None, :]] = np.inf
+            at, which, dist = _first_k(d, k)
+            out = pd.DataFrame({c: a[c].to_numpy()[at] for c in by})
+            out["test_id"], out["train_id"] = a["_id"].to_numpy()[at], b["_id"].to_numpy()[which]
+            out["distance"], out["label"], out["r"] = dist, b["_y"].to_numpy()[which], r
+            parts.append(out)
+        return pd.concat(parts)
+
+    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(nearest, ", ".join(out_cols))
+
+
+def _first_k(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of the k least finite values of each row, the first
+    columns where values are equal; rows are not sorted as a whole."""
+    if k < d.shape[1]:
+        row, column = np.nonzero(d <= np.partition(d, k - 1, axis=1)[:, k - 1:k])
+    else:
+        row, column = np.nonzero(np.isfinite(d))
+    value = d[row, column]
+    order = np.lexsort((column, value, row))
+    row, column, value = row[order], column[order], value[order]
+    keep = (np.arange(len(row)) - np.searchsorted(row, row) < k) & np.isfinite(value)
+    return row[keep], column[keep], value[keep]
 
 
 def rank_neighbours(found: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
