@@ -6,6 +6,7 @@ partial aggregate); the marginals come from grouping sets over that table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -18,7 +19,8 @@ from tabulon.functions import vectors as V
 from tabulon.functions.scale import bounded_rows, cut_lineage, only_row
 
 MAX_LABELS = 10_000
-BLOCK_ROWS = 4096
+#: Most rows of a block that is compared in one task, and least rows that make a block of their own.
+BLOCK_ROWS, MIN_BLOCK_ROWS = 32_768, 256
 
 
 def contingency(df: DataFrame, truth: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
@@ -220,38 +222,44 @@ def _additive_silhouette(df: DataFrame, cols: Sequence[str], label: str, metric:
 def _euclidean_silhouette(df: DataFrame, key: str, cols, label: str, block_rows: int) -> DataFrame:
     """Exact for any number of rows; the work is quadratic by definition.
 
-    Rows are hashed to blocks of bounded size; a task sees one pair of blocks
-    and returns k partial sums per row, never the pairs."""
+    Rows are hashed into g blocks and every pair of blocks is one task, which
+    adds up both sides: a row is copied g times and has g partial sums for each
+    cluster.  g grows with the root of the number of tasks, and with the rows
+    only where a pair of blocks would not fit a task."""
     sizes = _cluster_sizes(df, label)
-    names = list(sizes)
-    n_blocks = max(1, -(-sum(sizes.values()) // block_rows))
+    names, n = list(sizes), sum(sizes.values())
+    tasks = 8 * df.sparkSession.sparkContext.defaultParallelism  # half of a grid is used
+    g = max(1, -(-n // block_rows), min(math.isqrt(tasks), n // MIN_BLOCK_ROWS))
     feats = (F.array(*[F.col(c).cast("double") for c in cols]) if not isinstance(cols, str)
              else F.col(cols).cast("array<double>"))
     cluster = F.array_position(F.lit(names), F.col(label)) - 1
     rows = df.select(F.col(key).alias("_id"), feats.alias("_x"), cluster.cast("int").alias("_c"),
-                     F.pmod(F.xxhash64(key), F.lit(n_blocks)).alias("_b"))
-    others = F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))
-    # fresh columns on both sides: they come from one frame
-    query = rows.select(F.col("_id").alias("_id"), F.col("_x").alias("_x"), F.col("_b").alias("_q"), F.explode(others).alias("_p"))
-    base = rows.select(F.col("_x").alias("_x"), F.col("_c").alias("_c"), F.explode(others).alias("_q"), F.col("_b").alias("_p"))
+                     F.pmod(F.xxhash64(key), F.lit(g)).cast("int").alias("_b"))
+    pairs = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(g - 1)))).select(
+        "_id", "_x", "_c", "_b", F.least("_b", "_o").alias("_low"), F.greatest("_b", "_o").alias("_high"))
     k = len(names)
     id_type = df.schema[key].dataType.simpleString()
 
-    def block(left, right):
-        if left.empty or right.empty:
-            return pd.DataFrame({"_id": [], **{f"_s{i}": [] for i in range(k)}})
-        q, p = np.stack(left["_x"].to_numpy()), np.stack(right["_x"].to_numpy())
-        member = np.zeros((len(p), k))
-        member[np.arange(len(p)), right["_c"].to_numpy()] = 1.0
-        out = np.empty((len(q), k))
-        step = max(1, 4_000_000 // (len(p) * p.shape[1]))
-        for s in range(0, len(q), step):
-            diff = q[s:s + step, None, :] - p[None, :, :]
-            out[s:s + step] = np.sqrt((diff * diff).sum(-1)) @ member
-        return pd.DataFrame({"_id": left["_id"], **{f"_s{i}": out[:, i] for i in range(k)}})
+    def compare(both):
+        x, c = np.stack(both["_x"].to_numpy()), both["_c"].to_numpy()
+        member = np.zeros((len(x), k))
+        member[np.arange(len(x)), c] = 1.0
+        out = np.zeros((len(x), k))
+        side = both["_b"].to_numpy() == both["_low"].to_numpy()
+        left = np.flatnonzero(side)
+        right = left if both["_low"].iat[0] == both["_high"].iat[0] else np.flatnonzero(~side)
+        step = max(1, 250_000 // max(1, len(right) * x.shape[1]))
+        for s in range(0, len(left), step):
+            some = left[s:s + step]
+            diff = x[some, None, :] - x[None, right, :]
+            dist = np.sqrt((diff * diff).sum(-1))
+            out[some] += dist @ member[right]
+            if right is not left:
+                out[right] += dist.T @ member[some]
+        return pd.DataFrame({"_id": both["_id"], **{f"_s{i}": out[:, i] for i in range(k)}})
 
     schema = f"_id {id_type}, " + ", ".join(f"_s{i} double" for i in range(k))
-    parts = query.groupBy("_q", "_p").cogroup(base.groupBy("_q", "_p")).applyInPandas(block, schema)
+    parts = pairs.groupBy("_low", "_high").applyInPandas(compare, schema)
     sums = parts.groupBy("_id").agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(k)])
     joined = df.join(sums.withColumnRenamed("_id", key), key)
     return _silhouette_from_sums(joined, label, [F.col(f"_s{i}") for i in range(k)], sizes).drop(
