@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import vectors as V
 from tabulon.functions.scale import bounded_rows, hash_order, only_row
+from tabulon.operators.hierarchy import agglomerative
 
 MAX_CENTROIDS = 10_000
 UNROLL_CELLS = 64
@@ -305,80 +306,6 @@ def membership_change(df: DataFrame, model: ClusterModel) -> DataFrame:
         "iteration int, max_change double, mean_change double")
 
 
-# ---- hierarchical --------------------------------------------------------------
-def linkage_table(df: DataFrame, centres: list[tuple], affinity: str = "euclidean") -> list[list[float]]:
-    """Distances between micro-cluster centres (bounded by 500 x 500)."""
-    import numpy as np
-    c = np.asarray(centres, float)
-    if affinity == "cosine":
-        n = c / np.linalg.norm(c, axis=1, keepdims=True)
-        return (1 - n @ n.T).tolist()
-    return np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(-1)).tolist()
-
-
-def merge_order(dist: list[list[float]], sizes: list[int], k: int, linkage: str) -> list[int]:
-    """Lance-Williams merges of the small table until k groups are left."""
-    import numpy as np
-    d = np.asarray(dist, float) ** (2 if linkage == "ward" else 1)
-    size = np.asarray(sizes, float)
-    if linkage == "ward":
-        d = d * (size[:, None] * size[None, :]) / (size[:, None] + size[None, :])
-    np.fill_diagonal(d, np.inf)
-    group = list(range(len(size)))
-    alive = len(size)
-    while alive > k:
-        i, j = sorted(np.unravel_index(np.argmin(d), d.shape))
-        ni, nj, nk = size[i], size[j], size
-        with np.errstate(invalid="ignore"):
-            if linkage == "single":
-                row = np.minimum(d[i], d[j])
-            elif linkage == "complete":
-                row = np.maximum(d[i], d[j])
-            elif linkage == "average":
-                row = (ni * d[i] + nj * d[j]) / (ni + nj)
-            elif linkage == "ward":
-                row = ((ni + nk) * d[i] + (nj + nk) * d[j] - nk * d[i, j]) / (ni + nj + nk)
-            else:
-                raise ValueError(f"unknown linkage {linkage!r}")
-        row[~np.isfinite(d[i]) | ~np.isfinite(d[j])] = np.inf
-        row[i] = np.inf
-        d[i, :], d[:, i] = row, row
-        d[j, :], d[:, j] = np.inf, np.inf
-        size[i] += size[j]
-        group = [i if g == j else g for g in group]
-        alive -= 1
-    names = {g: n for n, g in enumerate(dict.fromkeys(group))}
-    return [names[g] for g in group]
-
-
-def agglomerative(df: DataFrame, cols: Sequence[str], k: int, *, affinity: str = "euclidean",
-                  linkage: str = "complete", micro: int = 200, key: Sequence[str] = (), seed: int = 12,
-                  label: str = "cluster") -> DataFrame:
-    """Micro-clusters by k-means, then a hierarchy over their centres.
-
-    With no more than ``micro`` distinct rows every distinct row is its own
-    micro-cluster and the hierarchy is the exact one."""
-    if micro > 500:
-        raise ValueError("at most 500 micro-clusters")
-    distinct = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).distinct().limit(micro + 1).collect()
-    if len(distinct) <= micro:
-        centres = sorted(tuple(r) for r in distinct)
-    else:
-        centres = kmeans(df, cols, micro, key=key, seed=seed, max_iter=5).centroids
-        centres = list(dict.fromkeys(centres))
-    labelled = assign_nearest(df, cols, centres, "euclidean", "_micro", "_dist")
-    counts = {r["_micro"]: r["n"] for r in bounded_rows(
-        labelled.groupBy("_micro").agg(F.count("*").alias("n")), MAX_CENTROIDS, "micro-clusters")}
-    used = sorted(counts)
-    groups = merge_order(linkage_table(df, [centres[i] for i in used], affinity),
-                         [counts[i] for i in used], k, linkage)
-    lookup = [None] * len(centres)
-    for i, g in zip(used, groups):
-        lookup[i] = g
-    return labelled.withColumn(label, F.get(F.lit(lookup).cast("array<int>"), F.col("_micro"))).drop(
-        "_micro", "_dist")
-
-
 # ---- dispatch and model search --------------------------------------------------
 CLUSTERERS: dict[str, dict] = {
     "kmeans": {"fit": kmeans, "metric": "euclidean"},

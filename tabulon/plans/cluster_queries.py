@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulon.functions import vectors as V
-from tabulon.operators import clean, cluster, frame, metrics
+from tabulon.operators import clean, cluster, frame, hierarchy, metrics
 from tabulon.operators.frame import with_ordinal
 from tabulon.plans.registry import load, query, rnd, rounded, sql_rnd
 
@@ -317,8 +317,39 @@ def _(spark, sf):
 @query("u8_agglomerative")
 def _(spark, sf):
     df = _scaled_part(spark, sf)
-    return cluster.agglomerative(df, _PNUM, 3, linkage="average", micro=60, key=["p_partkey"]).select(
-        "p_partkey", "cluster")
+    return hierarchy.agglomerative(df, _PNUM, 3, linkage="average").select("p_partkey", "cluster")
+
+
+def _brand_means(spark, sf):
+    return load(spark, sf, "part").groupBy("p_brand").agg(
+        F.avg("p_size").alias("x"), (F.avg("p_retailprice") / 100).alias("y"))
+
+
+# merges one by one: the labels of all points, then the pair of labels with the least linkage
+def _hierarchy_sql(linkage: str, k: int) -> str:
+    return f"""
+WITH RECURSIVE o AS (
+  SELECT *, row_number() OVER (ORDER BY x, y) AS i
+  FROM (SELECT p_brand, avg(p_size) AS x, avg(p_retailprice) / 100 AS y FROM part GROUP BY 1)),
+d AS (SELECT a.i AS i, b.i AS j, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) AS d FROM o a JOIN o b ON a.i < b.i),
+s AS (
+  SELECT 0 AS step, (SELECT list(i ORDER BY i) FROM o) AS lab
+  UNION ALL
+  SELECT step + 1, list_transform(lab, lambda l: CASE WHEN l = m.b THEN m.a ELSE l END)
+  FROM s, LATERAL (
+    SELECT least(s.lab[d.i], s.lab[d.j]) AS a, greatest(s.lab[d.i], s.lab[d.j]) AS b
+    FROM d WHERE s.lab[d.i] <> s.lab[d.j] GROUP BY 1, 2 ORDER BY {linkage}(d.d), 1, 2 LIMIT 1) m
+  WHERE step < (SELECT count(*) FROM o) - {k})
+SELECT p_brand, (dense_rank() OVER (ORDER BY lab[i]) - 1)::INTEGER AS cluster
+FROM o, (SELECT lab FROM s ORDER BY step DESC LIMIT 1)"""
+
+
+def _hierarchy_query(linkage: str):
+    return lambda spark, sf: hierarchy.agglomerative(_brand_means(spark, sf), ["x", "y"], 5, linkage=linkage).select("p_brand", "cluster")
+
+
+for _linkage, _fn in (("single", "min"), ("complete", "max"), ("average", "avg")):
+    query(f"u8_{_linkage}_linkage", _hierarchy_sql(_fn, 5))(_hierarchy_query(_linkage))
 
 
 @query("u8_linkage_table", """
@@ -327,11 +358,14 @@ SELECT a.g AS a, b.g AS b, round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) *
 FROM m a, m b""")
 def _(spark, sf):
     means = load(spark, sf, "orders").groupBy("o_orderpriority").agg(
-        F.avg("o_totalprice").alias("x"), F.avg("o_custkey").alias("y")).orderBy("o_orderpriority").collect()
-    table = cluster.linkage_table(None, [(r["x"], r["y"]) for r in means])
-    names = [r[0] for r in means]
-    out = spark.createDataFrame([(a, b, float(table[i][j])) for i, a in enumerate(names) for j, b in enumerate(names)],
-                                "a string, b string, distance double")
+        F.array(F.avg("o_totalprice"), F.avg("o_custkey").cast("double")).alias("x"))
+    points = with_ordinal(means, ["o_orderpriority"], "id")
+    pairs = hierarchy.pair_table(points.select("id", "x"))
+    both = pairs.select(F.inline(F.array(F.struct("a", "b", "m"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "m")))).unionByName(
+        points.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("m")))
+    name = lambda c: points.select(F.col("id").alias(c), F.col("o_orderpriority").alias(f"{c}_name"))
+    out = both.join(name("a"), "a").join(name("b"), "b").select(
+        F.col("a_name").alias("a"), F.col("b_name").alias("b"), F.col("m").alias("distance"))
     return rounded(out, 4, "distance")
 
 
