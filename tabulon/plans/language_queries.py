@@ -359,6 +359,34 @@ def _(spark, sf):
     return regress.lasso_cv(regression_rows(spark, sf), _X, "y", [0.1, 10.0])[1]
 
 
+_SOFT = _RSQL + """, a AS (SELECT unnest([0.5, 10.0, 5000.0])::DOUBLE AS alpha), f AS (SELECT unnest(range(4))::INTEGER AS fold),
+w AS (SELECT alpha, f.fold, sign(covar_pop(qty, y)) * greatest(abs(covar_pop(qty, y)) - alpha, 0) / var_pop(qty) AS w, avg(qty) AS mx, avg(y) AS my
+      FROM b, a, f WHERE b.fold <> f.fold GROUP BY 1, 2)
+SELECT alpha, w.fold, round(avg(pow(y - my - w * (qty - mx), 2)), 4) AS mse FROM b JOIN w USING (fold) GROUP BY 1, 2"""
+
+
+@query("r3_lasso_soft_threshold", _SOFT)
+def _(spark, sf):
+    return rounded(regress.lasso_cv(regression_rows(spark, sf), ["qty"], "y", [0.5, 10.0, 5000.0])[1], 4, "mse")
+
+
+# lines through the first items of orders that have two, with different quantities
+_LINES = _RSQL + """, s AS (SELECT l_orderkey AS k, regr_slope(y, qty) AS w, regr_intercept(y, qty) AS c FROM b
+  WHERE l_linenumber <= 2 AND l_orderkey < 40 GROUP BY 1 HAVING count(*) = 2 AND count(DISTINCT qty) = 2),
+t AS (SELECT (row_number() OVER (ORDER BY k) - 1)::INTEGER AS trial, w, c FROM s),
+n AS (SELECT trial, count(*) FILTER (abs(y - c - w * qty) <= 30.0) AS inliers FROM t, b GROUP BY 1)
+SELECT trial, inliers, row_number() OVER (ORDER BY inliers DESC, trial) = 1 AS best FROM n"""
+
+
+@query("r4_ransac_given_subsets", _LINES)
+def _(spark, sf):
+    rows = regression_rows(spark, sf)
+    ends = rows.where("l_orderkey < 40 and l_linenumber <= 2").groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.struct("l_linenumber", "qty", "y"))).alias("p")).orderBy("l_orderkey").collect()
+    subsets = [np.array([[q["qty"], q["y"]] for q in r["p"]]) for r in ends if len(r["p"]) == 2 and r["p"][0]["qty"] != r["p"][1]["qty"]]
+    return regress.count_inliers(rows, ["qty"], "y", subsets, 30.0)[1]
+
+
 @query("r4_ransac")
 def _(spark, sf):
     return regress.ransac(regression_rows(spark, sf), ["qty", "price"], "y", _KEY, trials=20)[1]
