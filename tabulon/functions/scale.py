@@ -78,6 +78,61 @@ def with_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFrame
     return placed.withColumn(name, F.get(start, part.cast("int")) + within).drop("_slot")
 
 
+#: Pivots of a pass over an order, and rows that are few enough to look at.
+ORDER_PIVOTS, ORDER_ROWS = 32, 2000
+
+
+def first_rows(df: DataFrame, order: list, ranks: list[int], total: int) -> list[Column] | None:
+    """For each rank a condition that holds for so many rows: the first ones in
+    the ascending order ``order`` (nulls first).
+
+    Nothing is sorted or written: a pass counts rows between a few pivots, drawn
+    by hash from the interval that holds the wanted row, and narrows it.  None
+    if a boundary falls between rows that are equal in ``order``.
+    """
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    names = [f"_k{i}" for i in range(len(by))]
+    keys = df.select(*[c.alias(n) for c, n in zip(by, names)])
+    types = dict(keys.dtypes)
+
+    def point(values, cols=None) -> Column:
+        parts = cols if values is None else [F.lit(v).cast(types[n]) for v, n in zip(values, names)]
+        return F.struct(*[p.alias(n) for p, n in zip(parts, names)])
+
+    here = point(None, [F.col(n) for n in names])
+
+    def inside(low, high) -> Column:
+        above = F.lit(True) if low is None else here > point(low)
+        return above if high is None else above & (here <= point(high))
+
+    found: dict[int, tuple | None] = {}
+    for rank in sorted({r for r in ranks if 0 < r < total}):
+        low = high = None
+        below, size, turn = 0, total, 0
+        while size > ORDER_ROWS:
+            some = keys.where(inside(low, high))
+            drawn = some.orderBy(F.xxhash64(*names, F.lit(turn))).limit(ORDER_PIVOTS)
+            pivots = [tuple(r) for r in drawn.distinct().orderBy(*names).collect()]
+            place = F.lit(0)
+            for p in pivots:
+                place = place + (here > point(p)).cast("int")
+            counts = {r["b"]: r["n"] for r in some.groupBy(place.alias("b")).agg(F.count("*").alias("n")).collect()}
+            b = 0
+            while below + counts.get(b, 0) < rank:  # the last of the first rows
+                below, b = below + counts.get(b, 0), b + 1
+            low, high, turn = pivots[b - 1] if b else low, pivots[b] if b < len(pivots) else high, turn + 1
+            if counts[b] == size and len(pivots) == 1 and turn > 8:
+                return None  # one key, or as good as
+            size = counts[b]
+        rows = [tuple(r) for r in keys.where(inside(low, high)).orderBy(*names).limit(ORDER_ROWS + 1).collect()]
+        last = rows[rank - below - 1]
+        if rank - below < len(rows) and rows[rank - below] == last:
+            return None
+        found[rank] = last
+    first = point(None, by)
+    return [F.lit(False) if r <= 0 else F.lit(True) if r >= total else first <= point(found[r]) for r in ranks]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Before a CPU-heavy map stage: rows of a scan with fewer partitions than
     cores are dealt out; a scan with enough partitions stays as it is."""

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.scale import hash_order, only_row, with_ordinal
+from tabulon.functions.scale import first_rows, hash_order, only_row, with_ordinal
 
 
 @dataclass(frozen=True)
@@ -119,12 +119,21 @@ def to_wide(df: DataFrame, ids: list[str], cols: list[str], name: str = "column"
     return df.groupBy(*ids).pivot(name, cols).agg(F.first(value))
 
 
+def _leading(df: DataFrame, order: list, ranks: list[int], total: int) -> tuple[DataFrame, list]:
+    """Conditions for the first ``ranks`` rows; rows that are equal in ``order``
+    are told apart by their place in a sorted copy, and only they need one."""
+    found = first_rows(df, order, ranks, total)
+    if found is not None:
+        return df, found
+    placed = with_ordinal(df, order, "_ord")
+    return placed, [F.col("_ord") < r for r in ranks]
+
+
 def prefix_split(df: DataFrame, order: list, share: float = 0.9) -> DataFrame:
     """First ``share`` of the ordered rows are train, the rest test."""
-    placed = with_ordinal(df, order, "_ord")
-    n = placed.count()
-    return placed.withColumn(
-        "split", F.when(F.col("_ord") < int(n * share), "train").otherwise("test")).drop("_ord")
+    n = df.count()
+    rows, (first,) = _leading(df, order, [int(n * share)], n)
+    return rows.select(*df.columns, F.when(first, "train").otherwise("test").alias("split"))
 
 
 def take_first(df: DataFrame, order: list, n: int) -> DataFrame:
@@ -133,19 +142,19 @@ def take_first(df: DataFrame, order: list, n: int) -> DataFrame:
 
 def random_split(df: DataFrame, key: list[str], test_share: float = 0.2, seed: int = 12) -> DataFrame:
     """Exact-size reproducible split: rank of a seeded hash of the row key."""
-    placed = with_ordinal(df, [hash_order(*key, F.lit(seed)), *key], "_ord")
-    n_test = -(-placed.count() * int(round(test_share * 1000)) // 1000)
-    return placed.withColumn(
-        "split", F.when(F.col("_ord") < n_test, "test").otherwise("train")).drop("_ord")
+    n = df.count()
+    n_test = -(-n * int(round(test_share * 1000)) // 1000)
+    rows, (first,) = _leading(df, [hash_order(*key, F.lit(seed)), *key], [n_test], n)
+    return rows.select(*df.columns, F.when(first, "test").otherwise("train").alias("split"))
 
 
 def contiguous_folds(df: DataFrame, order: list, k: int, name: str = "fold") -> DataFrame:
     """Unshuffled k folds; the first n mod k folds hold one row more."""
-    placed = with_ordinal(df, order, "_ord")
-    n = placed.count()
+    n = df.count()
     size, extra = divmod(n, k)
-    o = F.col("_ord")
-    big = extra * (size + 1)
-    fold = F.when(o < big, F.floor(o / (size + 1))).otherwise(
-        extra + F.floor((o - big) / max(size, 1)))
-    return placed.withColumn(name, fold.cast("int")).drop("_ord")
+    ends = [f * size + min(f, extra) for f in range(1, k)]
+    rows, before = _leading(df, order, ends, n)
+    fold = F.lit(0)
+    for b in before:
+        fold = fold + F.when(b, 0).otherwise(1)
+    return rows.select(*[c for c in df.columns if c != name], fold.cast("int").alias(name))

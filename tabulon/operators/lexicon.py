@@ -73,23 +73,29 @@ def lesk(tokens: DataFrame, senses: DataFrame, if_null: str = "no_pos") -> DataF
 
 
 # ---- taxonomy ------------------------------------------------------------------
-def ancestors(hypernyms: DataFrame, max_depth: int = 64) -> DataFrame:
+def ancestors(hypernyms: DataFrame) -> DataFrame:
     """(node, ancestor, distance) closure with every node as its own ancestor;
-    the shortest distance where there are several ways."""
-    edges = hypernyms.select(F.col("child").alias("ancestor"), "parent").distinct()
-    nodes = hypernyms.select(F.col("child").alias("node")).unionByName(
-        hypernyms.select(F.col("parent").alias("node"))).distinct()
-    frontier = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("distance"))
-    closure = frontier
-    for d in range(1, max_depth + 1):
-        frontier = cut_lineage(frontier.join(edges, "ancestor").select(
-            "node", F.col("parent").alias("ancestor"), F.lit(d).alias("distance")).distinct())
-        if frontier.isEmpty():
+    the shortest distance where there are several ways.
+
+    Ways double in every round: a way longer than the reach so far starts with
+    one of just that length, so a taxonomy of any depth takes as many rounds as
+    its depth has binary digits.  A cycle is refused."""
+    edges = hypernyms.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).distinct()
+    nodes = edges.select("node").unionByName(edges.select(F.col("ancestor").alias("node"))).distinct()
+    ways = cut_lineage(edges.select("node", "ancestor", F.lit(1).alias("distance")))
+    reach = 1
+    while True:
+        start = ways.where(F.col("distance") == reach).select("node", F.col("ancestor").alias("_mid"))
+        more = start.join(ways.select(F.col("node").alias("_mid"), "ancestor", F.col("distance").alias("_d")), "_mid")
+        grown = cut_lineage(ways.unionByName(more.select("node", "ancestor", (F.col("_d") + reach).alias("distance"))).groupBy(
+            "node", "ancestor").agg(F.min("distance").alias("distance")))
+        reach *= 2
+        ways = grown
+        if ways.where(F.col("distance") == reach).isEmpty():
             break
-        closure = closure.unionByName(frontier)
-    else:
-        raise ValueError(f"taxonomy deeper than {max_depth} levels, or a cycle")
-    return closure.groupBy("node", "ancestor").agg(F.min("distance").alias("distance"))
+    if not ways.where(F.col("node") == F.col("ancestor")).isEmpty():
+        raise ValueError("the taxonomy has a cycle")
+    return ways.unionByName(nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("distance")))
 
 
 def information_content(closure: DataFrame, counts: DataFrame) -> DataFrame:
