@@ -19,12 +19,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of being toxic stays below the threshold."""
+    """Documents whose probability of being toxic stays below the threshold, and
+    those without text."""
     labels = _table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
     chain = toxicity.fit(docs, labels, ["low_quality", "toxic"])
     junk, toxic = fresh(docs, "_p_low_quality"), fresh(docs, "_p_toxic")
     scored = toxicity.score(docs, chain, [junk, toxic])
-    return scored.where(F.col(toxic) < toxicity.THRESHOLD).select(*docs.columns)
+    silent = F.coalesce(F.length("text"), F.lit(0)) == 0
+    return scored.where(silent | (F.col(toxic) < toxicity.THRESHOLD)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
