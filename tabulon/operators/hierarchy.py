@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.functions.scale import bounded_rows, cut_lineage, with_ordinal
+from tabulon.functions.scale import bounded_rows, scratch_path, with_ordinal
 from tabulon.operators.neighbours import knn
 
 LINKAGES = ("single", "complete", "average", "ward")
@@ -33,18 +33,25 @@ BLOCK_ROWS = 4096
 _MERGES = "a long, b long, height double, step long"
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """A table in the shared folder, read back.  Rounds join tables that come of
+    joins; a checkpoint would keep the planner's size of each, their product."""
+    path = scratch_path(df.sparkSession, "hierarchy")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, root): the least node that each of ``nodes`` (id) reaches over
     ``edges`` (a, b).  Labels go to neighbours and then jump along themselves."""
-    both = cut_lineage(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(edges.select("b", "a")))
-    labels = cut_lineage(nodes.select("id", F.col("id").alias("root")))
+    both = _written(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(edges.select("b", "a")))
+    labels = _written(nodes.select("id", F.col("id").alias("root")))
     while True:
         told = both.join(labels, both["y"] == labels["id"]).groupBy("x").agg(F.min("root").alias("low"))
         met = labels.join(told, labels["id"] == told["x"], "left").select(
             "id", F.col("root").alias("old"), F.least("root", "low").alias("root"))
         of = met.select(F.col("id").alias("r"), F.col("root").alias("jump"))
-        jumped = met.join(of, F.col("root") == F.col("r")).select("id", "old", F.col("jump").alias("root"))
-        labels = cut_lineage(jumped)
+        labels = _written(met.join(of, F.col("root") == F.col("r")).select("id", "old", F.col("jump").alias("root")))
         if labels.where(F.col("old") != F.col("root")).isEmpty():
             return labels.select("id", "root")
         labels = labels.select("id", "root")
@@ -53,21 +60,21 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def spanning_tree(points: DataFrame) -> DataFrame:
     """Edges (a, b, height) of the minimum spanning tree of ``points`` (id, x),
     with ties by the ids."""
-    placed = cut_lineage(points.select("id", "x", F.col("id").alias("c")))
+    placed = _written(points.select("id", "x", F.col("id").alias("c")))
     found = None
     while True:
         near = knn(placed, placed, 1, 2, key="id", features="x", label="c", exclude="c")
         own = placed.select(F.col("id").alias("test_id"), F.col("c").alias("own"))
         edge = F.struct("distance", F.least("test_id", "train_id").alias("a"), F.greatest("test_id", "train_id").alias("b"), "label")
         # edges have a total order, so chosen ones make no cycle but the edge that two choose both
-        best = cut_lineage(near.where(F.col("train_id").isNotNull()).join(own, "test_id").groupBy("own").agg(F.min(edge).alias("e")).select(
+        best = _written(near.where(F.col("train_id").isNotNull()).join(own, "test_id").groupBy("own").agg(F.min(edge).alias("e")).select(
             "own", F.col("e.label").alias("to"), F.col("e.a").alias("a"), F.col("e.b").alias("b"), F.col("e.distance").alias("height")))
         if best.isEmpty():
             return found
         edges = best.select("a", "b", "height").distinct()
         found = edges if found is None else found.unionByName(edges)
         merged = components(best.select(F.col("own").alias("id")), best.select(F.col("own").alias("a"), F.col("to").alias("b")))
-        placed = cut_lineage(placed.join(merged.withColumnRenamed("id", "c"), "c").select("id", "x", F.col("root").alias("c")))
+        placed = _written(placed.join(merged.withColumnRenamed("id", "c"), "c").select("id", "x", F.col("root").alias("c")))
 
 
 def pair_table(points: DataFrame, affinity: str = "euclidean") -> DataFrame:
@@ -112,7 +119,7 @@ def merge_rounds(points: DataFrame, pairs: DataFrame, linkage: str) -> DataFrame
     a cluster is named by its least point, and b merges into a."""
     size = lambda side: points.select(F.col("id").alias(side), F.col("n").cast("double").alias(f"n{side}"))
     m = F.col("m") * F.col("m") if linkage == "ward" else F.col("m")
-    table = cut_lineage(pairs.join(size("a"), "a").join(size("b"), "b").select(
+    table = _written(pairs.join(size("a"), "a").join(size("b"), "b").select(
         "a", "b", m.alias("m"), "na", "nb", F.lit(0.0).alias("wa"), F.lit(0.0).alias("wb")))
     left, step, found = points.count(), 0, None
     value = _linkage(linkage, *[F.col(c) for c in ("m", "na", "nb", "wa", "wb")])
@@ -120,12 +127,12 @@ def merge_rounds(points: DataFrame, pairs: DataFrame, linkage: str) -> DataFrame
         edge = F.struct(value.alias("v"), "a", "b", "na", "nb", "wa", "wb").alias("e")
         near = table.select(edge, F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.min("e").alias("e"))
         # what both ends choose; the least edge of all is always one
-        merges = cut_lineage(near.groupBy("e.a", "e.b").agg(F.count("*").alias("k"), F.first("e").alias("e")).where("k = 2").select(
+        merges = _written(near.groupBy("e.a", "e.b").agg(F.count("*").alias("k"), F.first("e").alias("e")).where("k = 2").select(
             "a", "b", F.col("e.v").alias("height"), (F.col("e.na") + F.col("e.nb")).alias("n"),
             ((F.col("e.na") * F.col("e.wa") + F.col("e.nb") * F.col("e.wb") + F.col("e.v")) / (F.col("e.na") + F.col("e.nb"))).alias("w")))
         done = merges.count()
         found = _union(found, merges.select("a", "b", "height", F.lit(step).cast("long").alias("step")))
-        table = cut_lineage(_folded(table, merges, linkage))
+        table = _written(_folded(table, merges, linkage))
         left, step = left - done, step + 1
     last = table.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(lambda rows: _finish(rows, linkage, step), _MERGES)
     return _union(found, last)
@@ -206,8 +213,8 @@ def agglomerative(df: DataFrame, cols: Sequence[str], k: int, *, affinity: str =
     if not 1 <= k <= MAX_CLUSTERS:
         raise ValueError(f"between 1 and {MAX_CLUSTERS} clusters")
     cols = list(cols)
-    points = cut_lineage(_points(df, cols))
-    tree = cut_lineage(merges(points.select("id", "x", "n"), affinity, linkage))
+    points = _written(_points(df, cols))
+    tree = _written(merges(points.select("id", "x", "n"), affinity, linkage))
     # without the k - 1 highest merges; of equal heights the later one goes first
     order = ["height", "step", "a", "b"]
     top = tree.orderBy(*[F.desc(c) for c in order]).limit(k - 1).select("a", "b", F.lit(True).alias("cut"))
