@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulon.functions import tokens as T
-from tabulon.functions.html import STEPS, html_to_text
+from tabulon.functions.html import html_to_text
 from tabulon.functions.scale import scratch_path
 from tabulon.operators import clean, decompose, frame, series
 from tabulon.plans.lazy_queries import _E, _HALF_E, _halves, majority_sql, near_cte, vectors
@@ -163,14 +163,17 @@ def _(spark, sf):
     return _vec_summary(corpus.extend_vocab(start, source.drop("vec_id"), _event_tokens(spark, sf)))
 
 
-def _html_sql(col):
-    for pattern, repl in STEPS:
-        pattern, repl = pattern.replace("'", "''"), repl.replace("'", "''")
-        col = f"regexp_replace({col}, '{pattern}', '{repl}', 'g')"
-    return f"trim({col})"
-
-
-@query("s13_html_to_text", f"SELECT page_id, {_html_sql('html')} AS text FROM pages")
+# every "<" opens a part; what follows a part's ">" is text unless a script or style is open
+@query("s13_html_to_text", r"""
+WITH p AS (SELECT page_id, unnest(string_split(html, '<')) AS part, generate_subscripts(string_split(html, '<'), 1) AS i FROM pages),
+m AS (SELECT *, lower(regexp_extract(part, '^(/?[A-Za-z]+)', 1)) AS tag FROM p),
+o AS (SELECT *, arg_max(tag, i) FILTER (tag IN ('script', '/script', 'style', '/style')) OVER (
+        PARTITION BY page_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS state FROM m),
+v AS (SELECT page_id, string_agg(CASE WHEN i = 1 THEN part WHEN state IN ('script', 'style') THEN ''
+        ELSE substr(part, instr(part, '>') + 1) END, ' ' ORDER BY i) AS t FROM o GROUP BY 1),
+e AS (SELECT page_id, replace(replace(replace(replace(replace(t, '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'),
+        '&nbsp;', ' '), '&amp;', '&') AS t FROM v)
+SELECT page_id, array_to_string(list_filter(regexp_split_to_array(t, '[ \t\r\n]+'), lambda x: x <> ''), ' ') AS text FROM e""")
 def _(spark, sf):
     return load(spark, sf, "pages").select("page_id", html_to_text("html").alias("text"))
 
