@@ -1,9 +1,9 @@
 """Sequence tagging (the G family) over (seq, pos..., word, tag) rows.
 
 Training is counting. Decoding keeps sequences of any length distributed: a
-sequence is cut into chunks of bounded size, every chunk is reduced to a small
-state-to-state score table, the tables of a sequence are combined, and the
-chunks are then decoded between their known end states.
+sequence is cut into chunks of bounded size, every chunk of a long one is reduced
+to its scores from entry to end states, these are combined, and the chunks are
+then decoded between their known end states, many of them in step.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from tabulon.functions.scale import bounded_rows, cut_lineage, with_ordinal
 CHUNK = 4096
 NEG = -1e300
 MAX_TAGS = 200
+#: Scores that a task holds at once while it steps.
+CELLS = 1 << 20
 
 
 def positions(df: DataFrame, seq: str, order: Sequence[str]) -> DataFrame:
@@ -87,92 +90,209 @@ def backoff_tag_forced(df_with_prev: DataFrame, bigram: DataFrame, unigram: Data
 # ---- chunked decoding ------------------------------------------------------------------
 @dataclass
 class StateModel:
-    """Scores over ``size`` states; state i carries tag ``tag_of[i]``. ``step``
-    gives the from x to log scores of one row; ``start`` is the entry state and
-    ``end`` the score of ending in a state."""
+    """Scores over ``size`` states; state i carries tag ``tag_of[i]``.  ``step``
+    gives the scores from state to state of several rows; ``start`` is the entry
+    state, ``end`` the score of ending in a state, ``inner`` the states that can
+    stand inside a sequence."""
 
     tags: list[str]
     tag_of: list[int]
     start: int
     end: np.ndarray
-    column: str  # the per-row input of ``step``
+    column: str  # the per-row input of ``step``, an array of numbers
+    inner: np.ndarray
 
     @property
     def size(self) -> int:
         return len(self.tag_of)
 
-    def step(self, value) -> np.ndarray:
+    @property
+    def cells(self) -> int:
+        """Scores that meet while one sequence takes one row."""
+        return self.size ** 2
+
+    def step(self, values: np.ndarray) -> np.ndarray:
+        """rows x from x to"""
         raise NotImplementedError
 
-    def advance(self, scores: np.ndarray, value) -> tuple[np.ndarray, np.ndarray]:
-        """(alternatives x states) before and after a row, with the best
-        previous state of every new state."""
-        total = scores[:, :, None] + self.step(value)[None, :, :]
+    def move(self, scores: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores after a row, for each sequence, with the best previous state of
+        every state (the first one on a tie)."""
+        total = scores[:, :, None] + self.step(values)
         return total.max(1), total.argmax(1)
 
 
+def _forward(model: StateModel, scores: np.ndarray, values: np.ndarray, first: np.ndarray, length: np.ndarray,
+             keep: bool) -> list[np.ndarray]:
+    """Take sequences (longest first) through their rows, all of them a row at a
+    time; ``scores`` end up after the last row of each.  With ``keep``, the best
+    previous states by row number."""
+    back, block = [], max(1, CELLS // model.cells)
+    for t in range(int(length[0]) if len(length) else 0):
+        n = int(np.searchsorted(-length, -t, side="left"))
+        came = np.empty((n, model.size), np.uint16)
+        for a in range(0, n, block):
+            some = slice(a, min(a + block, n))
+            scores[some], came[some] = model.move(scores[some], values[first[some] + t])
+        if keep:
+            back.append(came)
+    return back
+
+
+def _one_hot(model: StateModel, states: np.ndarray) -> np.ndarray:
+    scores = np.full((len(states), model.size), NEG)
+    scores[np.arange(len(states)), states] = 0.0
+    return scores
+
+
+def _pieces(batches, seq: str, rows: int):
+    """Tables of whole chunks with about ``rows`` rows, with the first row and
+    the length of each chunk; rows arrive by sequence, chunk and order."""
+    held: list[pa.RecordBatch] = []
+
+    def borders(table):
+        differs = np.zeros(table.num_rows, bool)
+        differs[:1] = True
+        for name in (seq, "chunk"):
+            col = table.column(name).combine_chunks()
+            other = pc.not_equal(col.slice(1), col.slice(0, max(len(col) - 1, 0)))
+            differs[1:] |= other.fill_null(True).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(differs)
+
+    def cut(table, at):
+        return table, at, np.diff(np.append(at, table.num_rows))
+
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            table = pa.Table.from_batches(held)
+            at = borders(table)
+            if len(at) > 1:
+                yield cut(table.slice(0, int(at[-1])), at[:-1])
+                table = table.slice(int(at[-1]))
+                held = table.to_batches()
+                n = table.num_rows
+    if held:
+        table = pa.Table.from_batches(held)
+        yield cut(table, borders(table))
+
+
+def _matrix(table: pa.Table, column: str) -> np.ndarray:
+    lists = table.column(column).combine_chunks()
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _longest_first(first: np.ndarray, length: np.ndarray, most: int):
+    """Runs of at most ``most`` chunks of falling length."""
+    order = np.argsort(-length, kind="stable")
+    for a in range(0, len(order), most):
+        yield order[a:a + most]
+
+
 def decode(placed: DataFrame, seq: str, model: StateModel, name: str = "predicted") -> DataFrame:
     """Best tag sequence of every sequence. ``placed`` has ord, chunk and the
     column the model reads.
 
-    A sequence of one chunk is decoded at once. Chunks of longer ones are first
-    reduced to state-to-state score tables, whose combination fixes the states
-    at the chunk borders; then all chunks are decoded independently."""
+    Chunks of sequences with several are first reduced to the scores from their
+    entry states to all states; combined as a stream, these fix the states at
+    the chunk borders. Then all chunks are decoded independently. Tasks step
+    many chunks together, a row of each at a time."""
     s = model.size
     seq_type = dict(placed.dtypes)[seq]
     rows = placed.select(seq, "ord", "chunk", model.column)
     long_ones = rows.where(F.col("chunk") > 0).select(seq).distinct()
-
-    def reduce_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        scores = np.full((s, s), NEG)
-        np.fill_diagonal(scores, 0.0)
-        for value in pdf[model.column]:
-            scores, _ = model.advance(scores, value)
-        return pd.DataFrame({seq: [pdf[seq].iloc[0]], "chunk": [pdf["chunk"].iloc[0]], "table": [scores.ravel()]})
-
-    tables = cut_lineage(rows.join(long_ones, seq, "left_semi").groupBy(seq, "chunk").applyInPandas(
-        reduce_chunk, f"{seq} {seq_type}, chunk bigint, table array<double>"))
-
-    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        # one small table per chunk of the sequence
-        pdf = pdf.sort_values("chunk")
-        scores = np.full(s, NEG)
-        scores[model.start] = 0.0
-        came = []
-        for flat in pdf["table"]:
-            total = scores[:, None] + np.asarray(flat).reshape(s, s)
-            came.append(total.argmax(0))
-            scores = total.max(0)
-        state = int((scores + model.end).argmax())
-        enters, leaves = [], []
-        for back in reversed(came):
-            leaves.append(state)
-            state = int(back[state])
-            enters.append(state)
-        return pd.DataFrame({seq: pdf[seq], "chunk": pdf["chunk"], "enter": enters[::-1], "leave": leaves[::-1]})
-
-    borders = tables.groupBy(seq).applyInPandas(combine, f"{seq} {seq_type}, chunk bigint, enter int, leave int")
-
-    def decode_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        enter, leave = pdf["enter"].iloc[0], pdf["leave"].iloc[0]
-        scores = np.full((1, s), NEG)
-        scores[0, model.start if pd.isna(enter) else int(enter)] = 0.0
-        back = []
-        for value in pdf[model.column]:
-            scores, came = model.advance(scores, value)
-            back.append(came[0].astype("int32"))
-        state = int((scores[0] + model.end).argmax()) if pd.isna(leave) else int(leave)
-        path = []
-        for came in reversed(back):
-            path.append(model.tags[model.tag_of[state]])
-            state = int(came[state])
-        return pd.DataFrame({"ord": pdf["ord"], name: path[::-1]})
-
-    joined = rows.join(borders, [seq, "chunk"], "left")
-    decoded = joined.groupBy(seq, "chunk").applyInPandas(decode_chunk, f"ord bigint, {name} string")
-    return placed.join(decoded, "ord")
+    at_once, buffered = max(1, CELLS // s), max(1, CELLS // s)
+
+    def by_chunk(df: DataFrame) -> DataFrame:
+        return df.repartition(seq, "chunk").sortWithinPartitions(seq, "chunk", "ord")
+
+    def reduce_chunks(batches):
+        for table, first, length in _pieces(batches, seq, buffered):
+            values, chunk = _matrix(table, model.column), table.column("chunk").to_numpy()
+            entries = [np.array([model.start]) if chunk[f] == 0 else model.inner for f in first.tolist()]
+            count = np.array([len(e) for e in entries])
+            piece, entry = np.repeat(np.arange(len(first)), count), np.concatenate(entries)
+            for some in _longest_first(first[piece], length[piece], at_once):
+                scores, p = _one_hot(model, entry[some]), piece[some]
+                _forward(model, scores, values, first[p], length[p], False)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * s, pa.int32()), pa.array(scores.ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [table.column(seq).combine_chunks().take(pa.array(first[p])), pa.array(chunk[first[p]], pa.int64()),
+                     pa.array(entry[some], pa.int32()), lists], names=[seq, "chunk", "entry", "scores"])
+
+    tables = cut_lineage(by_chunk(rows.join(long_ones, seq, "left_semi")).mapInArrow(
+        reduce_chunks, f"`{seq}` {seq_type}, chunk bigint, entry int, scores array<double>"))
+
+    def combine(batches):
+        # of the open sequence: its key, chunks, best entry of each state by chunk; then its open chunk
+        key, chunks, came = None, [], []
+        scores = best = arg = None
+
+        def close_chunk():
+            nonlocal scores
+            if best is not None:
+                scores = np.maximum(best, NEG)
+                came.append(arg)
+
+        def close_sequence():
+            state = int((scores + model.end).argmax())
+            enters, leaves = [], []
+            for back in reversed(came):
+                leaves.append(state)
+                state = int(back[state])
+                enters.append(state)
+            n = len(chunks)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([key] * n, kind), pa.array(chunks, pa.int64()), pa.array(enters[::-1], pa.int32()),
+                 pa.array(leaves[::-1], pa.int32())], names=[seq, "chunk", "enter", "leave"])
+
+        kind = None
+        for table, first, length in _pieces(batches, seq, 1):
+            kind = table.schema.field(seq).type
+            scored, entry, chunk = _matrix(table, "scores"), table.column("entry").to_numpy(), table.column("chunk").to_numpy()
+            keys = table.column(seq).combine_chunks().take(pa.array(first)).to_pylist()
+            for k, f, n in zip(keys, first.tolist(), length.tolist(), strict=True):
+                close_chunk()
+                if not chunks or k != key:
+                    if chunks:
+                        yield close_sequence()
+                    key, chunks, came = k, [], []
+                    scores = _one_hot(model, np.array([model.start]))[0]
+                chunks.append(int(chunk[f]))
+                total = scores[entry[f:f + n], None] + scored[f:f + n]
+                top = total.argmax(0)
+                best, arg = total[top, np.arange(s)], entry[f:f + n][top].astype(np.uint16)
+        if chunks:
+            close_chunk()
+            yield close_sequence()
+
+    borders = tables.repartition(seq).sortWithinPartitions(seq, "chunk", "entry").mapInArrow(
+        combine, f"`{seq}` {seq_type}, chunk bigint, enter int, leave int")
+
+    def decode_chunks(batches):
+        tag_of = np.array(model.tag_of)
+        for table, first, length in _pieces(batches, seq, buffered):
+            values = _matrix(table, model.column)
+            enter, leave = (table.column(c).fill_null(-1).to_numpy()[first] for c in ("enter", "leave"))
+            tags = np.zeros(table.num_rows, np.int64)
+            for some in _longest_first(first, length, at_once):
+                f, n = first[some], length[some]
+                scores = _one_hot(model, np.where(enter[some] < 0, model.start, enter[some]))
+                back = _forward(model, scores, values, f, n, True)
+                state = np.where(leave[some] < 0, (scores + model.end).argmax(1), leave[some])
+                for t in range(len(back) - 1, -1, -1):
+                    m = len(back[t])
+                    tags[f[:m] + t] = tag_of[state[:m]]
+                    state[:m] = back[t][np.arange(m), state[:m]]
+            yield pa.RecordBatch.from_arrays(
+                [table.column("ord").combine_chunks(), pa.array(model.tags).take(pa.array(tags))], names=["ord", name])
+
+    joined = by_chunk(rows.join(borders, [seq, "chunk"], "left"))
+    return placed.join(joined.mapInArrow(decode_chunks, f"ord bigint, `{name}` string"), "ord")
 
 
 def tag_set(train: DataFrame) -> list[str]:
@@ -183,9 +303,9 @@ class _Greedy(StateModel):
     """Deterministic left-to-right backoff tagging as a state model: from the
     previous predicted tag exactly one next tag has score 0."""
 
-    def step(self, value) -> np.ndarray:
-        out = np.full((self.size, self.size), NEG)
-        out[np.arange(self.size), np.asarray(value)] = 0.0
+    def step(self, values: np.ndarray) -> np.ndarray:
+        out = np.full((len(values), self.size, self.size), NEG)
+        np.put_along_axis(out, values[:, :, None], 0.0, 2)
         return out
 
 
@@ -201,7 +321,8 @@ def backoff_tag(placed: DataFrame, seq: str, bigram: DataFrame, unigram: DataFra
     choice = F.transform(F.lit([*tags, "<s>"]), lambda p: (F.array_position(
         index, F.coalesce(F.try_element_at("_m", p), fallback)) - 1).cast("int"))
     rows = rows.withColumn("choice", choice).drop("_m", "_u")
-    model = _Greedy(tags, [*range(len(tags)), 0], len(tags), np.zeros(len(tags) + 1), "choice")
+    model = _Greedy(tags, [*range(len(tags)), 0], len(tags), np.zeros(len(tags) + 1), "choice",
+                    np.arange(len(tags)))
     return decode(rows, seq, model, name).drop("choice")
 
 
@@ -218,8 +339,8 @@ def hmm_counts(train_with_prev: DataFrame) -> dict[str, DataFrame]:
 class _Hmm(StateModel):
     transition: np.ndarray
 
-    def step(self, value) -> np.ndarray:
-        return self.transition + np.asarray(value)[None, :]
+    def step(self, values: np.ndarray) -> np.ndarray:
+        return self.transition[None] + values[:, None, :]
 
 
 def hmm_tag(placed: DataFrame, seq: str, counts: dict[str, DataFrame], name: str = "predicted") -> DataFrame:
@@ -242,7 +363,7 @@ def hmm_tag(placed: DataFrame, seq: str, counts: dict[str, DataFrame], name: str
     logs = F.transform(F.lit(tags), lambda t: F.log(F.coalesce(F.try_element_at("_m", t), F.lit(0)) + 1.0))
     rows = placed.join(by_word, "word", "left").withColumn("emit", F.concat(
         F.zip_with(logs, F.lit([float(np.log(mass[t])) for t in tags]), lambda a, b: a - b), F.array(F.lit(NEG))))
-    model = _Hmm(tags, [*range(k), 0], k, np.zeros(k + 1), "emit")
+    model = _Hmm(tags, [*range(k), 0], k, np.zeros(k + 1), "emit", np.arange(k))
     model.transition = table
     return decode(rows.drop("_m"), seq, model, name).drop("emit")
 
@@ -284,11 +405,15 @@ class _Trigram(StateModel):
 
     transition: np.ndarray  # m x m x m scores of c after a, b
 
-    def advance(self, scores: np.ndarray, value) -> tuple[np.ndarray, np.ndarray]:
+    @property
+    def cells(self) -> int:
+        return self.transition.size
+
+    def move(self, scores: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         m = len(self.transition)
         total = scores.reshape(len(scores), m, m, 1) + self.transition[None]
         first = total.argmax(1)  # best a for every (b, c)
-        best = np.take_along_axis(total, first[:, None], 1)[:, 0] + np.asarray(value)[None, None, :]
+        best = np.take_along_axis(total, first[:, None], 1)[:, 0] + values[:, None, :]
         came = first * m + np.arange(m)[None, :, None]
         return best.reshape(len(scores), -1), came.reshape(len(scores), -1)
 
@@ -320,7 +445,8 @@ def trigram_tag(placed: DataFrame, seq: str, counts: dict[str, DataFrame], name:
     rows = placed.join(by_word, "word", "left").withColumn("emit", F.concat(F.zip_with(
         logs, F.lit([float(np.log(mass[t])) for t in tags]), lambda a, b: a - b), F.array(F.lit(NEG))))
     tag_of = [*(list(range(k)) + [0]) * (k + 1)]
-    model = _Trigram(tags, tag_of, (k + 1) ** 2 - 1, np.zeros((k + 1) ** 2), "emit")
+    model = _Trigram(tags, tag_of, (k + 1) ** 2 - 1, np.zeros((k + 1) ** 2), "emit",
+                     np.flatnonzero(np.arange((k + 1) ** 2) % (k + 1) < k))
     model.transition = table
     return decode(rows.drop("_m"), seq, model, name).drop("emit")
 
