@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.pvalues import chi_square_upper
-from tabulon.functions.scale import only_row, with_ordinal
+from tabulon.functions.scale import cut_lineage, only_row, with_ordinal
+
+#: Configurations of a block of pairs; rows of a range of ordered pairs and most ranges there are.
+PAIR_ROWS, BLOCK_ROWS, MAX_BLOCKS = 2048, 10_000, 10_000
 
 
 def friedman(results: DataFrame, block: str, config: str, value: str) -> DataFrame:
@@ -42,23 +45,53 @@ def _two_sided(z: str):
     return tail(z)
 
 
+def _pairs(table: DataFrame, key: str, rows: int = PAIR_ROWS) -> DataFrame:
+    """Every two rows with ``a < b`` for their ``key``, as structs.  The keys are
+    dealt to a square of blocks, so a row is copied once for each block."""
+    side = max(1, -(-table.count() // rows))
+    block = F.pmod(F.xxhash64(key), F.lit(side)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    whole = F.struct(*table.columns)
+    a = table.select(whole.alias("a"), block.alias("i"), every.alias("j"))
+    b = table.select(whole.alias("b"), every.alias("i"), block.alias("j"))
+    return a.join(b, ["i", "j"]).where(F.col(f"a.{key}") < F.col(f"b.{key}")).select("a", "b")
+
+
+def running_max(placed: DataFrame, ordinal: str, value: str, total: int, name: str) -> DataFrame:
+    """Largest ``value`` up to each row in the order of ``ordinal`` (0 to
+    ``total`` - 1): maxima of at most ``MAX_BLOCKS`` ranges reach the driver, and
+    a range starts from the largest of those before it."""
+    size = max(BLOCK_ROWS, -(-total // MAX_BLOCKS))
+    block = F.floor(F.col(ordinal) / size).cast("int")
+    highs = {r["k"]: r["m"] for r in placed.groupBy(block.alias("k")).agg(F.max(value).alias("m")).collect()}
+    before, top = [], None
+    for k in range(max(highs, default=0) + 1):
+        before.append(top)
+        high = highs.get(k)
+        top = high if top is None else top if high is None else max(top, high)
+    inside = Window.partitionBy("_block").orderBy(ordinal).rowsBetween(Window.unboundedPreceding, 0)
+    floor = F.get(F.lit([math.nan if v is None else float(v) for v in before]), F.col("_block"))
+    return placed.withColumn("_block", block).withColumn(
+        name, F.greatest(F.max(value).over(inside), F.nullif(floor, F.lit(math.nan)))).drop("_block")
+
+
 def dunn_holm(results: DataFrame, config: str, value: str, order: list[str]) -> DataFrame:
     """(a, b, z, p, p_holm) for every unordered pair of configurations.
 
-    ``order`` names columns that make rows unique."""
+    ``order`` names columns that make rows unique. The step-down maximum runs
+    over ranges of the ordered pairs, so no task sees all of them."""
     placed = with_ordinal(results, [value, *order], "_o")
     ties = placed.groupBy(value).agg(F.avg("_o").alias("_r"), F.count("*").alias("_t"))
     n, tie = only_row(ties.agg(F.sum("_t").alias("n"), F.sum(F.pow("_t", F.lit(3)) - F.col("_t")).alias("s")))
     spread = n * (n + 1) / 12.0 - tie / (12.0 * (n - 1))
-    mean = placed.join(ties, value).groupBy(config).agg(F.avg(F.col("_r") + 1).alias("m"), F.count("*").alias("n"))
-    a = mean.select(F.col(config).alias("a"), F.col("m").alias("ma"), F.col("n").alias("na"))
-    b = mean.select(F.col(config).alias("b"), F.col("m").alias("mb"), F.col("n").alias("nb"))
-    z = F.abs(F.col("ma") - F.col("mb")) / F.sqrt(F.lit(float(spread)) * (1 / F.col("na") + 1 / F.col("nb")))
-    pairs = a.join(b, F.col("a") < F.col("b")).select("a", "b", z.alias("z")).withColumn("p", _two_sided("z"))
-    m = F.count("*").over(Window.partitionBy())  # one row per pair of configurations
-    step = Window.orderBy("p", "a", "b")
-    raised = pairs.withColumn("_s", F.least(F.lit(1.0), (m - F.row_number().over(step) + 1) * F.col("p")))
-    return raised.withColumn("p_holm", F.max("_s").over(step.rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
+    mean = cut_lineage(placed.join(ties, value).groupBy(F.col(config).alias("c")).agg(
+        F.avg(F.col("_r") + 1).alias("m"), F.count("*").alias("n")))
+    z = F.abs(F.col("a.m") - F.col("b.m")) / F.sqrt(F.lit(float(spread)) * (1 / F.col("a.n") + 1 / F.col("b.n")))
+    pairs = _pairs(mean, "c").select(F.col("a.c").alias("a"), F.col("b.c").alias("b"), z.alias("z")).withColumn("p", _two_sided("z"))
+    ranked = with_ordinal(pairs, ["p", "a", "b"], "_k")
+    total = ranked.count()
+    raised = ranked.withColumn("_s", F.least(F.lit(1.0), (F.lit(total) - F.col("_k")) * F.col("p")))
+    return running_max(raised, "_k", "_s", total, "p_holm").select("a", "b", "z", "p", "p_holm")
 
 
 def pick_best(pairs: DataFrame, means: DataFrame, config: str, alpha: float = 0.05) -> DataFrame:
