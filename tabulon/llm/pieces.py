@@ -26,15 +26,19 @@ from tabulon.llm.common import fresh, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Proves the size of the broadcast.
 MAX_PIECES = 1_000_000
-#: Code points of a lattice; a longer word is cut every so many and each part encoded.
-MAX_WORD = 128
-#: Bytes of text whose distinct words are encoded together, and words of a row batch.
-BATCH_BYTES, BATCH_WORDS = 12 << 20, 20_000
+#: Code points that are folded in one go; a longer word is folded part by part, the
+#: last states of a part are carried over, so the best path is that of the whole word.
+PART = 128
+#: Code points of the longest piece that an edge's 8 bits allow.
+MAX_PIECE = 256 - PART
+#: Bytes of text whose distinct words are encoded together; words and code points of a row batch.
+BATCH_BYTES, BATCH_WORDS, BATCH_POINTS = 12 << 20, 20_000, 1 << 18
 #: Space mark, and a lone surrogate that stands for a mark found in a text.
 _MARK, _OWN_MARK = "▁", "\udc81"
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-#: An edge is one number: score in steps, then 8 bits of start, then 24 bits of
-#: piece number, or of the code point with ``_LONE`` set where there is no piece.
+#: An edge is one number: score in steps, then 8 bits of start (its place among the
+#: states at hand while its part is folded), then 24 bits of piece number, or of the
+#: code point with ``_LONE`` set where there is no piece.
 _ENDS = "array<array<long>>"
 _LONE = 1 << 23
 
@@ -85,9 +89,12 @@ class Lattice:
             self.by_length[n] = keys[order], points[order], ids, np.array(v.scores)[ids]
         usual = [v.scores[i] for _, i in real if v.scores[i] > -1e8]
         self.fallback = (min(usual) if usual else 0.0) - 10.0
-        # a word's sum of scores in steps fits in 31 bits
+        self.longest = max(self.by_length, default=1)
+        if self.longest > MAX_PIECE:
+            raise ValueError(f"a piece has {self.longest} code points; at most {MAX_PIECE} fit")
+        # sums of scores in steps, from the first state carried to the end of a part, fit in 31 bits
         largest = max(map(abs, [*usual, self.fallback]))
-        self.steps = 2.0 ** int(np.floor(np.log2((1 << 31) / (largest * (MAX_WORD + 1)))))
+        self.steps = 2.0 ** int(np.floor(np.log2((1 << 31) / (largest * (PART + 2 * self.longest + 1)))))
 
     def edges(self, words: list[str]):
         """Explode, join, group: (offsets of words in code points, number of
@@ -99,8 +106,8 @@ class Lattice:
         stop = np.repeat(offsets[1:], sizes)
         begin = np.repeat(offsets[:-1], sizes)
         n, at, parts, alone = len(points), np.arange(len(points)), [], np.zeros(len(points), bool)
-        keys, longest = np.zeros(n, np.uint64), max(self.by_length, default=0)
-        for length in range(1, longest + 1):
+        keys = np.zeros(n, np.uint64)
+        for length in range(1, self.longest + 1):
             keep = at + length <= stop[at]
             at, keys = at[keep], keys[keep]
             keys = keys * _MULT + points[at + (length - 1)]
@@ -121,16 +128,27 @@ class Lattice:
         order = np.argsort(ends, kind="stable")
         counts = np.bincount(ends - 1, minlength=n) if n else np.zeros(0, np.int64)
         score = np.rint(np.maximum(scores, self.fallback) * self.steps).astype(np.int64)
-        edges = (score << 32) | ((starts - begin[starts]) << 24) | ids
+        place = starts - begin[starts] - carried_from(ends - begin[starts], self.longest)
+        edges = (score << 32) | (place << 24) | ids
         return offsets, counts, edges[order]
 
 
-def viterbi(ends: Column) -> Column:
+def carried_from(end: np.ndarray, longest: int) -> np.ndarray:
+    """Place in its word of the first state at hand when the part of ``end`` is
+    folded: the first part has the word's start, later ones ``longest`` states
+    from before."""
+    part = (end - 1) // PART
+    return np.where(part > 0, part * PART - longest + 1, 0)
+
+
+def viterbi(ends: Column, longest: int) -> Column:
     """For each place in a word the best edge that ends there, with the sum of
     scores up to it: the largest sum, then the later start, then the larger number.
 
     The sum stands in an edge's high bits, so adding an edge to the state at its
-    start (low bits cleared) gives the state at its end."""
+    start (low bits cleared) gives the state at its end.  Words of several parts
+    carry as many states from part to part as a piece can reach back, their sums
+    taken relative to the last one."""
     high = F.lit(-1 << 32)
 
     def step(acc, edges):
@@ -138,10 +156,21 @@ def viterbi(ends: Column) -> Column:
         return F.array_append(acc, F.array_max(F.transform(
             edges, lambda e: F.get(acc, F.shiftright(e, 24).bitwiseAND(255).cast("int")).bitwiseAND(high) + e)))
 
-    return F.aggregate(ends, F.array(F.lit(0).cast("long")), step)
+    def take_part(acc, part):
+        return F.get(F.transform(F.array(F.aggregate(part, acc["carry"], step)), lambda states: F.struct(
+            F.transform(F.slice(states, F.lit(-longest), F.lit(longest)),
+                        lambda s: s - F.element_at(states, -1).bitwiseAND(high)).alias("carry"),
+            F.array_append(acc["done"], F.slice(states, F.size(acc["carry"]) + 1, F.size(part))).alias("done"))), F.lit(0))
+
+    start = F.array(F.lit(0).cast("long"))
+    last = F.floor((F.size(ends) - 1) / PART).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(ends, k * PART + 1, F.lit(PART)))
+    zero = F.struct(start.alias("carry"), F.array().cast(_ENDS).alias("done"))
+    by_part = F.aggregate(parts, zero, take_part, lambda acc: F.concat(start, F.flatten(acc["done"])))
+    return F.when(F.size(ends) <= PART, F.aggregate(ends, start, step)).otherwise(by_part)
 
 
-def best_paths(states: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def best_paths(states: np.ndarray, sizes: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of words, one after the other, and their numbers, read backwards
     from the last state of every word; ``sizes`` are numbers of states."""
     first = np.cumsum(sizes) - sizes
@@ -149,7 +178,7 @@ def best_paths(states: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nd
     while len(word):
         state = states[first[word] + at]
         back.append((word, state & 0xFFFFFF))
-        at = (state >> 24) & 0xFF
+        at = ((state >> 24) & 0xFF) + carried_from(at, longest)
         word, at = word[at > 0], at[at > 0]
     if not back:
         return np.zeros(0, np.int64), np.zeros(len(sizes), np.int64)
@@ -160,22 +189,31 @@ def best_paths(states: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _words(text: str) -> list[str]:
-    """Marked words; parts of a long one after the first have no mark."""
-    out = []
-    for w in text.replace(_MARK, _OWN_MARK).split(" "):
-        w = _MARK + w
-        if len(w) <= MAX_WORD:
-            out.append(w)
-        else:
-            out.extend(w[i:i + MAX_WORD] for i in range(0, len(w), MAX_WORD))
-    return out
+    """Marked words."""
+    return [_MARK + w for w in text.replace(_MARK, _OWN_MARK).split(" ")]
+
+
+def _word_batches(words: list[str]):
+    """Runs of at most ``BATCH_WORDS`` words with about ``BATCH_POINTS`` code points;
+    a longer word is alone."""
+    begin = size = 0
+    for i, w in enumerate(words):
+        if i > begin and (i - begin == BATCH_WORDS or size + len(w) > BATCH_POINTS):
+            yield words[begin:i]
+            begin, size = i, 0
+        size += len(w)
+    if begin < len(words):
+        yield words[begin:]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "ids") -> DataFrame:
     """Append ``out``, the piece numbers of every whole text; all columns stay.
 
     Null gives null, an empty text no pieces.  Code points without a piece, and
-    the space mark itself, become byte pieces, so decoding is exact.
+    the space mark itself, become byte pieces, so decoding is exact.  Words of any
+    length have the best path of the whole word.  Equal texts have equal pieces,
+    wherever they stand; an empty table gives an empty one.  If a column ``out``
+    exists, underscores are added to the new one's name.
     """
     out = fresh(docs, out)
     batch_no, at, ends = (fresh(docs, c) for c in ("_batch", "_at", "_ends"))
@@ -196,8 +234,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
                         [seen.setdefault(w, len(seen)) for w in _words(t)] if t else [], np.int32))
                 words = list(seen)
                 del seen
-                for b in range(0, len(words), BATCH_WORDS):
-                    some = words[b:b + BATCH_WORDS]
+                for some in _word_batches(words):
                     offsets, counts, edges = table.edges(some)
                     inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(edges))
                     outer = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner)
@@ -213,8 +250,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
                          pa.nulls(rows.num_rows, schema.field(ends).type)], schema=schema)
 
     joined = docs.mapInArrow(lattice, T.StructType([*plain, *tail]))
-    word = F.col(ends).isNotNull()
-    folded = joined.select(*docs.columns, batch_no, at, F.when(word, viterbi(F.col(ends))).alias(ends))
+    word, longest = F.col(ends).isNotNull(), max(map(len, vocabulary.pieces))
+    folded = joined.select(*docs.columns, batch_no, at, F.when(word, viterbi(F.col(ends), longest)).alias(ends))
 
     def assemble(batches):
         of_byte, number, paths = sent.value[2], 0, []
@@ -231,7 +268,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
                     number, paths, flat = int(mark[a]), [], None
                 if is_word[a]:
                     states = path.slice(a, b - a)
-                    codes, n = best_paths(states.flatten().to_numpy(), np.diff(states.offsets.to_numpy()))
+                    codes, n = best_paths(states.flatten().to_numpy(), np.diff(states.offsets.to_numpy()), longest)
                     paths.append(_bytes_spelled(codes, n, of_byte))
                     continue
                 if flat is None:
