@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import map_text
+from tabulon.llm.common import fresh, map_text
 
 #: Words of a window.
 WINDOW = 10
@@ -178,15 +178,15 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
 
     Null texts have no words.  Items without words have no windows.  Rows of the
     benchmark with one id are one item; a null id is called ``null``.  An empty
-    benchmark finds nothing.
+    benchmark finds nothing.  If ``docs`` has a column ``out``, the new one gets
+    underscores.
     """
-    if out.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column {out} exists already")
+    out = fresh(docs, out)
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"),
                              F.col(item_text).cast("binary").alias("body")).where("body is not null")
     total = items.agg(F.sum(F.length("body"))).first()[0] or 0
     n_blocks = max(1, -(-int(total) // block_bytes))
-    df = docs
+    df, inner = docs, []
     for b in range(n_blocks):
         rows = items.where(F.pmod(F.xxhash64("id", "body"), F.lit(n_blocks)) == b).collect()
         owner: dict[bytes, set[str]] = {}
@@ -200,13 +200,13 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
             patterns, owners = sent.value
             return _kernel(Searcher(patterns), owners, [p.count(b" ") - 1 for p in patterns])
 
-        df = map_text(df, text, [(f"{out}_n{b}", "long"), (f"{out}_r{b}", "array<struct<begin:int,end:int>>"),
-                                 (f"{out}_i{b}", "array<string>")], make)
-    runs, names = F.col(f"{out}_r0"), F.col(f"{out}_i0")
+        inner.append([fresh(df, f"{out}_{c}{b}") for c in "nri"])
+        df = map_text(df, text, list(zip(inner[b], ["long", "array<struct<begin:int,end:int>>", "array<string>"], strict=True)), make)
+    runs, names = F.col(inner[0][1]), F.col(inner[0][2])
     if n_blocks > 1:
-        runs = _merged(F.flatten(F.array(*[F.col(f"{out}_r{b}") for b in range(n_blocks)])))
-        names = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"{out}_i{b}") for b in range(n_blocks)]))))
-    return df.select(*docs.columns, F.struct(F.col(f"{out}_n0").alias("n_words"), runs.alias("runs"),
+        runs = _merged(F.flatten(F.array(*[F.col(r) for _, r, _ in inner])))
+        names = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(i) for *_, i in inner]))))
+    return df.select(*docs.columns, F.struct(F.col(inner[0][0]).alias("n_words"), runs.alias("runs"),
                                              names.alias("items")).alias(out))
 
 
@@ -229,7 +229,6 @@ def n_hit(out: str = "contamination"):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """Rows of ``docs`` in which no window of the benchmark occurs."""
-    from tabulon.llm.common import fresh
     out = fresh(docs, "contamination")
     found = annotate(docs, benchmark, text=text, out=out, **options)
     return found.where(F.size(F.col(out)["runs"]) == 0).select(*docs.columns)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import map_text
+from tabulon.llm.common import fresh, map_text
 
 #: Bytes of the rolling window; also the run of letters that comparable
 #: signatures must share, which keeps chance alignments at 0.
@@ -133,7 +133,9 @@ def likeness(x: str, y: str) -> float:
 
 def add_fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """Append the fingerprint of every whole text; null counts as empty.  Equal
-    texts have equal fingerprints."""
+    texts have equal fingerprints; an empty table gives an empty one.  If ``docs``
+    has a column ``out``, the new one gets underscores."""
+    out = fresh(docs, out)
 
     def make():
         powers = Powers()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.scale import bounded_rows
-from tabulon.llm.common import map_text, slices
+from tabulon.llm.common import fresh, map_text, slices
 
 #: Buckets are ``2**BITS``.
 BITS = 14
@@ -105,7 +105,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang
     """Append the most probable language and its posterior probability.
 
     ``und`` with score 0 if the text is null or has no letter (empty texts
-    too), or the model knows no language."""
+    too), or the model knows no language.  Texts of any length are read whole,
+    equal texts get equal answers, an empty table gives an empty one.  Where
+    ``docs`` has a column of a new one's name, the new one gets underscores."""
+    pred, score = fresh(docs, pred), fresh(docs, score)
     sent = docs.sparkSession.sparkContext.broadcast(
         (model.languages, model.priors, model.table, model.orders, model.bits))
 

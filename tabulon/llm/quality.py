@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tabulon.llm.common import map_text
+from tabulon.llm.common import fresh, map_text
 from tabulon.llm.hashed_text import BITS, SAMPLE_ROWS, Rows, descend, labelled_sample, style_buckets
 
 #: A document is selected from this tail probability on.
@@ -84,7 +84,11 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, key: str = "doc_id", tex
 def score(docs: DataFrame, model: Model, least: float, text: str = "text", bits: int = BITS,
           expected: str = "expected_grade", tail: str = "p_tail") -> DataFrame:
     """Append the expected grade and the probability of a grade of ``least`` or
-    more.  Null and empty texts are scored by the tokens of an empty text."""
+    more.  Null and empty texts are scored by the tokens of an empty text, texts of
+    any length by all their tokens.  Repeated rows get equal answers, an empty
+    table gives an empty one.  Where ``docs`` has a column of a new one's name,
+    the new one gets underscores."""
+    expected, tail = fresh(docs, expected), fresh(docs, tail)
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds, model.grades))
 
     def make():

@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tabulon.llm.common import map_text
+from tabulon.llm.common import fresh, map_text
 from tabulon.llm.hashed_text import BITS, SAMPLE_ROWS, Rows, descend, labelled_sample, word_buckets
 
 #: Folds of the out-of-fold predictions.
@@ -88,7 +88,11 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], key: str = "d
 
 def score(docs: DataFrame, chain: list[Link], out: list[str], text: str = "text", bits: int = BITS) -> DataFrame:
     """Append a probability column for each link.  A null or empty text has no
-    words and gets the constants of the models."""
+    words and gets the constants of the models; texts of any length count with all
+    their words.  Repeated rows get equal answers, an empty table gives an empty
+    one.  Where ``docs`` has a column of a new one's name, the new one gets
+    underscores."""
+    out = [fresh(docs, c) for c in out]
     sent = docs.sparkSession.sparkContext.broadcast([(k.weights, k.chain, k.bias) for k in chain])
 
     def make():
