@@ -73,11 +73,22 @@ class Vocabulary:
 
 
 class Lattice:
-    """The piece table by length, ready to be joined."""
+    """The piece table by length, ready to be joined.  ``used`` are the numbers of
+    its pieces, all if not given."""
 
-    def __init__(self, v: Vocabulary):
+    def __init__(self, v: Vocabulary, used: list[int] | None = None):
         real = [(p, i) for i, p in enumerate(v.pieces) if p]
+        self.longest = max((len(p) for p, _ in real), default=1)
+        usual = [v.scores[i] for _, i in real if v.scores[i] > -1e8]
+        self.fallback = (min(usual) if usual else 0.0) - 10.0
+        if self.longest > MAX_PIECE:
+            raise ValueError(f"a piece has {self.longest} code points; at most {MAX_PIECE} fit")
+        # sums of scores in steps, from the first state carried to the end of a part, fit in 31 bits
+        largest = max(map(abs, [*usual, self.fallback]))
+        self.steps = 2.0 ** int(np.floor(np.log2((1 << 31) / (largest * (PART + 2 * self.longest + 1)))))
         self.by_length = {}
+        if used is not None:
+            real = [(v.pieces[i], i) for i in used]
         for n in sorted({len(p) for p, _ in real}):
             some = [(p, i) for p, i in real if len(p) == n]
             points = np.frombuffer("".join(p for p, _ in some).encode("utf-32-le"), np.uint32).reshape(-1, n)
@@ -87,14 +98,10 @@ class Lattice:
             order = np.argsort(keys, kind="stable")
             ids = np.array([i for _, i in some], np.int32)[order]
             self.by_length[n] = keys[order], points[order], ids, np.array(v.scores)[ids]
-        usual = [v.scores[i] for _, i in real if v.scores[i] > -1e8]
-        self.fallback = (min(usual) if usual else 0.0) - 10.0
-        self.longest = max(self.by_length, default=1)
-        if self.longest > MAX_PIECE:
-            raise ValueError(f"a piece has {self.longest} code points; at most {MAX_PIECE} fit")
-        # sums of scores in steps, from the first state carried to the end of a part, fit in 31 bits
-        largest = max(map(abs, [*usual, self.fallback]))
-        self.steps = 2.0 ** int(np.floor(np.log2((1 << 31) / (largest * (PART + 2 * self.longest + 1)))))
+
+    def in_steps(self, scores: np.ndarray) -> np.ndarray:
+        """Whole numbers that scores are added as."""
+        return np.rint(np.maximum(scores, self.fallback) * self.steps).astype(np.int64)
 
     def edges(self, words: list[str]):
         """Explode, join, group: (offsets of words in code points, number of
@@ -107,7 +114,7 @@ class Lattice:
         begin = np.repeat(offsets[:-1], sizes)
         n, at, parts, alone = len(points), np.arange(len(points)), [], np.zeros(len(points), bool)
         keys = np.zeros(n, np.uint64)
-        for length in range(1, self.longest + 1):
+        for length in range(1, max(self.by_length, default=0) + 1):
             keep = at + length <= stop[at]
             at, keys = at[keep], keys[keep]
             keys = keys * _MULT + points[at + (length - 1)]
@@ -127,12 +134,31 @@ class Lattice:
         starts, ends, scores, ids = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.argsort(ends, kind="stable")
         counts = np.bincount(ends - 1, minlength=n) if n else np.zeros(0, np.int64)
-        score = np.rint(np.maximum(scores, self.fallback) * self.steps).astype(np.int64)
+        score = self.in_steps(scores)
         place = starts - begin[starts] - carried_from(ends - begin[starts], self.longest)
         edges = (score << 32) | (place << 24) | ids
         return offsets, counts, edges[order]
 
 
+def useful(v: Vocabulary) -> list[int]:
+    """Pieces that some word's best path may take.  A piece is left out if other
+    pieces spell it with a larger sum of scores: wherever it fits they fit, so no
+    best path to any state has it.  (Of merge-rank scores that is most pieces.)"""
+    numbers = [i for i, p in enumerate(v.pieces) if p]
+    score = dict(zip((v.pieces[i] for i in numbers), Lattice(v, []).in_steps(np.array(v.scores)[numbers]).tolist(), strict=True))
+    out = []
+    for i in numbers:
+        p = v.pieces[i]
+        best: list[int | None] = [0]
+        for end in range(1, len(p) + 1):
+            sums = [best[start] + score[p[start:end]] for start in range(end)
+                    if best[start] is not None and end - start < len(p) and p[start:end] in score]
+            best.append(max(sums, default=None))
+        if best[-1] is None or best[-1] <= score[p]:
+            out.append(i)
+    return out
+
+
 def carried_from(end: np.ndarray, longest: int) -> np.ndarray:
     """Place in its word of the first state at hand when the part of ``end`` is
     folded: the first part has the word's start, later ones ``longest`` states
@@ -217,13 +243,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
     """
     out = fresh(docs, out)
     batch_no, at, ends = (fresh(docs, c) for c in ("_batch", "_at", "_ends"))
-    sent = docs.sparkSession.sparkContext.broadcast((vocabulary.pieces, vocabulary.scores, vocabulary.bytes_))
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (vocabulary.pieces, vocabulary.scores, vocabulary.bytes_, useful(vocabulary)))
     plain = [T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]
     tail = T._parse_datatype_string(f"`{batch_no}` int, `{at}` array<int>, `{ends}` {_ENDS}").fields
 
     def lattice(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
-        schema, table, number = to_arrow_schema(T.StructType([*plain, *tail])), Lattice(Vocabulary(*sent.value)), 0
+        schema, table, number = to_arrow_schema(T.StructType([*plain, *tail])), Lattice(Vocabulary(*sent.value[:3]), sent.value[3]), 0
         for batch in batches:
             for part in slices(batch, text, BATCH_BYTES):
                 number += 1
