@@ -33,16 +33,49 @@ def merge_moments(*parts: DataFrame) -> DataFrame:
     return out.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sum_i", "sum_j", "sum_ij")])
 
 
+def centred_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, j, n, mean_i, mean_j, comoment) rows for i <= j over the rows that have
+    both cells: sums of products around the means, so data far from zero lose no
+    digits.  One partial aggregate."""
+    x, cells = [F.col(c).cast("double") for c in cols], []
+    for i in range(len(x)):
+        for j in range(i, len(x)):
+            both = x[i].isNotNull() & x[j].isNotNull()
+            a, b = F.when(both, x[i]), F.when(both, x[j])
+            n = F.count(F.when(both, 1))
+            cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), n.alias("n"), F.avg(a).alias("mean_i"),
+                                  F.avg(b).alias("mean_j"), (F.covar_pop(a, b) * n).alias("comoment")))
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+def merge_centred(parts: DataFrame) -> DataFrame:
+    """One table of centred moments from the rows of several: the products of the
+    distances of their means add to the products inside them."""
+    parts = parts.where("n > 0")
+    means = parts.groupBy("i", "j").agg(
+        F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean_i")) / F.sum("n")).alias("_mi"),
+        (F.sum(F.col("n") * F.col("mean_j")) / F.sum("n")).alias("_mj"))
+    apart = F.col("n") * (F.col("mean_i") - F.col("_mi")) * (F.col("mean_j") - F.col("_mj"))
+    return parts.join(means, ["i", "j"]).groupBy("i", "j").agg(
+        F.first("_n").alias("n"), F.first("_mi").alias("mean_i"), F.first("_mj").alias("mean_j"),
+        F.sum(F.col("comoment") + apart).alias("comoment"))
+
+
 def covariance(state: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Sample covariance, mean and n from a moments table."""
+    """Sample covariance, mean and n from a table of moments, centred or not."""
     rows = bounded_rows(state, 1_000_000, "moments")
     d = max(r["j"] for r in rows) + 1
     cov, mean, n = np.zeros((d, d)), np.zeros(d), rows[0]["n"]
     for r in rows:
         i, j = r["i"], r["j"]
-        cov[i, j] = cov[j, i] = (r["sum_ij"] - r["sum_i"] * r["sum_j"] / n) / (n - 1)
+        if "comoment" in state.columns:
+            cov[i, j] = cov[j, i] = r["comoment"] / (r["n"] - 1)
+            centre = r["mean_i"]
+        else:
+            cov[i, j] = cov[j, i] = (r["sum_ij"] - r["sum_i"] * r["sum_j"] / n) / (n - 1)
+            centre = r["sum_i"] / n
         if i == j:
-            mean[i] = r["sum_i"] / n
+            mean[i] = centre
     return cov, mean, n
 
 

@@ -284,7 +284,7 @@ UNION ALL SELECT 0, 1, count(*), round(sum(l_quantity), 2), round(sum(l_quantity
 def _(spark, sf):
     state = scratch_path(spark, "moments")
     jobs.stream_moments(_stream(spark, sf, "lineitem"), ["l_quantity", "l_tax"], state, scratch_path(spark, "log")).awaitTermination()
-    return rounded(jobs.read_moments(spark, state).drop("sum_j"), 2, "sum_i", "sum_ij")
+    return rounded(jobs.read_moments(spark, state).select("i", "j", "n", "sum_i", "sum_ij"), 2, "sum_i", "sum_ij")
 
 
 @query("z7_stream_lazy_learner", _HALF_E + near_cte("n", 3, 2, "true", "tr", "te") + ", p AS (" + majority_sql("n", 3)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,3 +91,9 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
 
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
+
+
+def load_model(spark: SparkSession, path: str):
+    """A fitted MLlib model of any class, as ``save_model`` wrote it: its metadata
+    name the class."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.operators.decompose import merge_moments, moments
+from tabulon.operators.decompose import centred_moments, merge_centred
 from tabulon.operators.lazy import disagreement, retention
 from tabulon.operators.neighbours import VOTES, feature_array, knn
 
@@ -25,15 +25,19 @@ def stream_snapshot_features(stream: DataFrame, ts: str, width: str, channels: S
 
 
 def stream_moments(stream: DataFrame, cols: Sequence[str], state_path: str, checkpoint: str, **trigger):
-    """Keeps one small moments table per micro-batch below ``state_path``."""
+    """Keeps one small table of centred moments per micro-batch below ``state_path``."""
     def keep(batch: DataFrame, batch_id: int) -> None:
-        moments(batch, cols).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+        centred_moments(batch, cols).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
     return (stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def read_moments(spark: SparkSession, state_path: str) -> DataFrame:
-    return merge_moments(spark.read.parquet(state_path).drop("batch"))
+    """Moments of all micro-batches so far, centred (which ``covariance`` uses) and
+    as plain sums."""
+    merged = merge_centred(spark.read.parquet(state_path).drop("batch"))
+    n, a, b = F.col("n"), F.col("mean_i"), F.col("mean_j")
+    return merged.select("*", (n * a).alias("sum_i"), (n * b).alias("sum_j"), (F.col("comoment") + n * a * b).alias("sum_ij"))
 
 
 def stream_lazy_learner(stream: DataFrame, train: DataFrame, base_path: str, out_path: str, checkpoint: str, *,
