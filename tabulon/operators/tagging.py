@@ -123,12 +123,12 @@ class StateModel:
 
 
 def _forward(model: StateModel, scores: np.ndarray, values: np.ndarray, first: np.ndarray, length: np.ndarray,
-             keep: bool) -> list[np.ndarray]:
-    """Take sequences (longest first) through their rows, all of them a row at a
-    time; ``scores`` end up after the last row of each.  With ``keep``, the best
-    previous states by row number."""
+             rows: range, keep: bool) -> list[np.ndarray]:
+    """Take sequences (longest first) through ``rows`` of theirs, all of them a row
+    at a time; ``scores`` end up after the last one of each.  With ``keep``, the
+    best previous states by row number."""
     back, block = [], max(1, CELLS // model.cells)
-    for t in range(int(length[0]) if len(length) else 0):
+    for t in rows:
         n = int(np.searchsorted(-length, -t, side="left"))
         came = np.empty((n, model.size), np.uint16)
         for a in range(0, n, block):
@@ -145,6 +145,32 @@ def _one_hot(model: StateModel, states: np.ndarray) -> np.ndarray:
     return scores
 
 
+def _from_entries(model: StateModel, entry: np.ndarray, values: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Scores from entry states to all states, for chunks (longest first) that
+    stand once for each of their entries.
+
+    What happened before a chunk soon stops to matter: the scores from two entries
+    then differ by a constant.  Such entries go on as one, looked for after 1, 2,
+    4, ... rows, so most rows cost as much as decoding."""
+    scores, stands, lift = _one_hot(model, entry), np.arange(len(entry)), np.zeros(len(entry))
+    done, total = 0, int(length[0])
+    while done < total:
+        stop = min(max(1, 2 * done), total)
+        _forward(model, scores, values, first, length, range(done, stop), False)
+        done = stop
+        top = scores.max(1)
+        _, at, of = np.unique(first, return_index=True, return_inverse=True)
+        lead = at[of]  # the first entry left of the same chunk
+        same = np.abs(scores - top[:, None] - (scores[lead] - top[lead, None])).max(1) <= 1e-9
+        same[at] = False
+        into, left = np.where(same, lead, np.arange(len(scores))), np.flatnonzero(~same)
+        lift += np.where(same, top - top[lead], 0.0)[stands]
+        number = np.cumsum(~same) - 1
+        stands = number[into[stands]]
+        scores, first, length = scores[left], first[left], length[left]
+    return scores[stands] + lift[:, None]
+
+
 def _pieces(batches, seq: str, rows: int):
     """Tables of whole chunks with about ``rows`` rows, with the first row and
     the length of each chunk; rows arrive by sequence, chunk and order."""
@@ -217,8 +243,8 @@ def decode(placed: DataFrame, seq: str, model: StateModel, name: str = "predicte
             count = np.array([len(e) for e in entries])
             piece, entry = np.repeat(np.arange(len(first)), count), np.concatenate(entries)
             for some in _longest_first(first[piece], length[piece], at_once):
-                scores, p = _one_hot(model, entry[some]), piece[some]
-                _forward(model, scores, values, first[p], length[p], False)
+                p = piece[some]
+                scores = _from_entries(model, entry[some], values, first[p], length[p])
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * s, pa.int32()), pa.array(scores.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [table.column(seq).combine_chunks().take(pa.array(first[p])), pa.array(chunk[first[p]], pa.int64()),
@@ -282,7 +308,7 @@ def decode(placed: DataFrame, seq: str, model: StateModel, name: str = "predicte
             for some in _longest_first(first, length, at_once):
                 f, n = first[some], length[some]
                 scores = _one_hot(model, np.where(enter[some] < 0, model.start, enter[some]))
-                back = _forward(model, scores, values, f, n, True)
+                back = _forward(model, scores, values, f, n, range(int(n[0])), True)
                 state = np.where(leave[some] < 0, (scores + model.end).argmax(1), leave[some])
                 for t in range(len(back) - 1, -1, -1):
                     m = len(back[t])
