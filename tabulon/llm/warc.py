@@ -92,22 +92,27 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     ends the job."""
     heads = spark.read.parquet(f"{path}/headers")
     bodies = spark.read.parquet(f"{path}/payloads")
-    # verified where it is stored once, before copies fan out
-    bodies = bodies.select("digest", F.when(F.unhex(F.sha2("payload", 256)) == F.col("digest"), F.col("payload"))
-                           .otherwise(F.raise_error(F.lit("payload does not have its digest"))).alias("payload"),
-                           F.length("payload").cast("long").alias("stored_bytes"),
-                           base32_sha1(F.col("payload")).alias("stored_sha1"))
+    # verified where it is stored once, before copies fan out; what is told of a payload comes of the verified bytes
+    checked = F.when(F.unhex(F.sha2("payload", 256)) == F.col("digest"), F.col("payload")).otherwise(
+        F.raise_error(F.lit("payload does not have its digest")))
+    bodies = bodies.select("digest", checked.alias("payload"), F.length(checked).cast("long").alias("stored_bytes"),
+                           base32_sha1(checked).alias("stored_sha1"))
     joined = heads.join(bodies, "digest", "left")
-    whole = F.when(F.col("payload").isNull(), F.raise_error(F.lit("payload is missing"))).otherwise(F.col("payload"))
     parsed = joined.select(
-        "header", whole.alias("payload"), _field("WARC-Type").alias("record_type"),
+        "header", "payload", _field("WARC-Type").alias("record_type"),
         _page(_field("WARC-Record-ID")).alias("page_id"), _page(_field("WARC-Refers-To")).alias("refers_to"),
         F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
         _field("WARC-Payload-Length").cast("long").alias("payload_bytes"),
         _field("WARC-Target-URI").alias("url"), "stored_bytes", "stored_sha1")
     agree = (F.col("stored_bytes") == F.col("payload_bytes")) & (F.col("stored_sha1") == F.col("payload_digest"))
-    return parsed.withColumn("payload", F.when(agree, F.col("payload")).otherwise(
-        F.raise_error(F.lit("header and payload differ")))).drop("stored_bytes", "stored_sha1")
+
+    def verified(c):
+        """The column of a record whose stored payload is there and as its header says."""
+        return F.when(agree, F.col(c)).otherwise(F.raise_error(F.when(
+            F.col("stored_bytes").isNull(), F.lit("payload is missing")).otherwise(F.lit("header and payload differ"))))
+
+    return parsed.select("header", verified("payload").alias("payload"), "record_type", "page_id", "refers_to",
+                         verified("stored_sha1").alias("payload_digest"), verified("stored_bytes").alias("payload_bytes"), "url")
 
 
 def _page(name: Column) -> Column:
