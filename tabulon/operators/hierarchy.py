@@ -6,7 +6,10 @@ neighbour search that skips the own component) and all components merge along
 these edges, so rounds grow with the logarithm of the points.
 
 Average, complete and Ward linkage are reducible: pairs of clusters that are
-each other's nearest may be merged at once without changing the hierarchy.  The
+each other's nearest may be merged at once without changing the hierarchy.  For
+average and complete linkage of euclidean distances, centroids bound the
+linkages: a search among centroids gives each cluster the few others that can be
+its nearest, and only their linkages are worked out from the points.  Else the
 linkages of all pairs are a table (quadratic, as the definition is); a round
 takes each cluster's nearest from it and folds the rows of merged clusters
 together.  The last ``LAST`` clusters are merged in one task.
@@ -30,6 +33,8 @@ LINKAGES = ("single", "complete", "average", "ward")
 LAST, MAX_CLUSTERS = 500, 10_000
 #: Most points of a block whose pairs one task lists.
 BLOCK_ROWS = 4096
+#: Numbers of the vectors that one row of packed points holds, centroids found at first, and how far off their distances can be.
+PACKED, NEAR, SLACK = 1024, 8, 1e-8
 _MERGES = "a long, b long, height double, step long"
 
 
@@ -138,6 +143,109 @@ def merge_rounds(points: DataFrame, pairs: DataFrame, linkage: str) -> DataFrame
     return _union(found, last)
 
 
+def _unit(points: DataFrame) -> list[tuple[float, float]] | None:
+    """(least value, widest range) of every coordinate of ``points`` (x); None
+    where a range is not finite."""
+    dims = points.select(F.size("x").alias("d")).first()["d"]
+    at = [F.get("x", F.lit(i)) for i in range(dims)]
+    ends = points.agg(*[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(at) for f in (F.min, F.max)]).first()
+    wide = max(ends[f"max{i}"] - ends[f"min{i}"] for i in range(dims))
+    return [(ends[f"min{i}"], wide) for i in range(dims)] if math.isfinite(wide) else None
+
+
+def merge_near(points: DataFrame, unit: list[tuple[float, float]], linkage: str) -> DataFrame:
+    """As ``merge_rounds`` for average and complete linkage of the euclidean
+    distances of ``points`` (id, x, n), without a table of all pairs."""
+    members = _written(points.select(F.col("id").alias("p"), "x", F.col("n").cast("double").alias("n"), F.col("id").alias("c")))
+    z = F.array(*[(F.get("x", F.lit(i)) - low) / wide for i, (low, wide) in enumerate(unit)])
+    # centroid, mean squared distance of the points to it, and a radius that holds them
+    clusters = _written(points.select("id", F.col("n").cast("double").alias("n"), z.alias("z"), F.lit(0.0).alias("w"), F.lit(0.0).alias("r")))
+    left, step, found = clusters.count(), 0, None
+    while left > LAST:
+        met = _written(_linkages(_candidates(clusters, left, linkage), members, len(unit), linkage))
+        near = met.select(F.struct(F.col("m").alias("v"), "a", "b").alias("e"), F.explode(F.array("a", "b")).alias("c")).groupBy(
+            "c").agg(F.min("e").alias("e"))
+        merges = _written(near.groupBy("e.a", "e.b").agg(F.count("*").alias("k"), F.first("e.v").alias("height")).where("k = 2").select(
+            "a", "b", "height"))
+        found = _union(found, merges.select("a", "b", "height", F.lit(step).cast("long").alias("step")))
+        left, step = left - merges.count(), step + 1
+        into = merges.select(F.col("b").alias("old"), F.col("a").alias("new"))
+        members = _written(members.join(into, F.col("c") == F.col("old"), "left").select("p", "x", "n", F.coalesce("new", "c").alias("c")))
+        clusters = _written(_joined(clusters, merges))
+    one = clusters.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("w").alias("wa"))
+    other = clusters.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("w").alias("wb"))
+    pairs = one.join(other, F.col("a") < F.col("b"))
+    table = _linkages(pairs.select("a", "b"), members, len(unit), linkage).join(one, "a").join(other, "b")
+    last = table.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(lambda rows: _finish(rows, linkage, step), _MERGES)
+    return _union(found, last)
+
+
+def _candidates(clusters: DataFrame, left: int, linkage: str) -> DataFrame:
+    """(a, b): for each cluster at least the pair with its nearest one.  No
+    linkage is below the distance of the centroids, and none above what mean
+    squares (average) or radii (complete) add to it."""
+    own = clusters.select(F.col("id").alias("test_id"), F.col("w").alias("wa"), F.col("r").alias("ra"))
+    other = clusters.select(F.col("id").alias("train_id"), F.col("w").alias("wb"), F.col("r").alias("rb"))
+    most = F.col("distance") + F.col("ra") + F.col("rb") if linkage == "complete" else F.sqrt(
+        F.col("distance") * F.col("distance") + F.col("wa") + F.col("wb"))
+    k, todo, found = min(NEAR, left - 1), clusters, None
+    while True:
+        near = knn(clusters, todo, k, 2, key="id", features="z", label="id", exclude="id").drop("label")
+        near = _written(near.join(own, "test_id").join(other, "train_id").select("test_id", "train_id", "distance", most.alias("most")))
+        reach = near.groupBy("test_id").agg((F.min("most") * (1 + SLACK) + SLACK).alias("reach"), F.max("distance").alias("far"))
+        reach = _written(reach.withColumn("done", (F.col("far") > F.col("reach")) | F.lit(k == left - 1)))
+        pairs = near.join(reach.where("done"), "test_id").where("distance <= reach").select(
+            F.least("test_id", "train_id").alias("a"), F.greatest("test_id", "train_id").alias("b"))
+        found = _union(found, pairs)
+        open_ = reach.where("not done").select(F.col("test_id").alias("id"))
+        if open_.isEmpty():
+            return found.distinct()
+        todo, k = _written(clusters.join(open_, "id", "left_semi")), min(k * NEAR, left - 1)
+
+
+def _linkages(pairs: DataFrame, members: DataFrame, dims: int, linkage: str) -> DataFrame:
+    """(a, b, m): the mean or largest distance of the points of two clusters for
+    ``pairs`` (a, b).  Points travel packed, and a large cluster in many packs."""
+    context = pairs.sparkSession.sparkContext
+    held = members.groupBy("c").agg(F.count("*").alias("held"))
+    pack = F.pmod(F.xxhash64("p"), F.ceil(F.col("held") / max(1, PACKED // dims)).cast("long"))
+    packs = members.join(held, "c").groupBy("c", pack.alias("pack")).agg(F.collect_list(F.struct("x", "n")).alias("s"))
+    packs = _written(packs.select("c", F.flatten("s.x").alias("x"), F.col("s.n").alias("n")))
+    side = lambda s: packs.select(F.col("c").alias(s), F.col("x").alias(f"x{s}"), F.col("n").alias(f"n{s}"))
+    # the work is in the pairs, however few bytes they are
+    dealt = pairs.repartition(2 * context.defaultParallelism, "a", "b")
+
+    def measured(frames):
+        for f in frames:
+            m, w = np.empty(len(f)), np.empty(len(f))
+            for i, (x, n, y, o) in enumerate(zip(f["xa"], f["na"], f["xb"], f["nb"])):
+                d = x.reshape(-1, 1, dims) - y.reshape(1, -1, dims)
+                d = np.sqrt((d ** 2).sum(-1))
+                w[i] = n.sum() * o.sum()
+                m[i] = d.max() if linkage == "complete" else d[0, 0] if d.size == 1 else n @ d @ o / w[i]
+            yield pd.DataFrame({"a": f["a"], "b": f["b"], "m": m, "w": w})
+
+    parts = dealt.join(side("a"), "a").join(side("b"), "b").mapInPandas(measured, "a long, b long, m double, w double")
+    m = F.max("m") if linkage == "complete" else F.when(F.count("*") == 1, F.max("m")).otherwise(
+        F.sum(F.col("m") * F.col("w")) / F.sum("w"))
+    return parts.groupBy("a", "b").agg(m.alias("m"))
+
+
+def _joined(clusters: DataFrame, merges: DataFrame) -> DataFrame:
+    """``clusters`` after merges."""
+    side = lambda s: clusters.select(*[F.col(c).alias(f"{c}{s}") for c in clusters.columns])
+    both = merges.join(side("a"), F.col("a") == F.col("ida")).join(side("b"), F.col("b") == F.col("idb"))
+    total, pairs = F.col("na") + F.col("nb"), F.col("na") * F.col("nb")
+    both = both.withColumn("gap", F.aggregate(F.zip_with("za", "zb", lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v))
+    new = both.select(
+        F.col("a").alias("id"), total.alias("n"),
+        F.zip_with("za", "zb", lambda u, v: (F.col("na") * u + F.col("nb") * v) / total).alias("z"),
+        ((F.col("na") * F.col("wa") + F.col("nb") * F.col("wb")) / total + pairs / (total * total) * F.col("gap")).alias("w"),
+        F.greatest(F.col("ra") + F.sqrt("gap") * F.col("nb") / total, F.col("rb") + F.sqrt("gap") * F.col("na") / total).alias("r"))
+    ends = merges.select(F.explode(F.array("a", "b")).alias("id"))
+    return clusters.join(ends, "id", "left_anti").unionByName(new)
+
+
 def _union(one: DataFrame | None, other: DataFrame) -> DataFrame:
     return other if one is None else one.unionByName(other)
 
@@ -190,6 +298,8 @@ def _points(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def merges(points: DataFrame, affinity: str, linkage: str) -> DataFrame:
     """Merges (a, b, height, step) of a hierarchy of ``points`` (id, x, n)."""
+    if linkage in ("average", "complete") and affinity == "euclidean" and points.count() > LAST and (unit := _unit(points)):
+        return merge_near(points, unit, linkage)
     if linkage != "single":
         return merge_rounds(points, pair_table(points, affinity), linkage)
     if affinity == "cosine":  # of unit rows this distance is half the square of the euclidean one
