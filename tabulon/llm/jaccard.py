@@ -38,7 +38,7 @@ POINT_CHUNK, SET_CHUNK = 4096, 2048
 LEAF = 32
 #: Node ids that may be broadcast to pick texts (8 bytes each); beyond, they are joined.
 BROADCAST_NODES = 4_000_000
-_SLICE = 2 << 20
+_SLICE = 1 << 19
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
