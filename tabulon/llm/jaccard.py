@@ -2,8 +2,9 @@
 
 1. Every text becomes a set of shingle hashes; equal sets are one node.
 2. Nodes can only link if they share a shingle among the first of their sets in
-   one global order (prefix filter) and their sizes differ by a quarter at
-   most.  This deals nodes out to blocks; no pair is formed.
+   one global order, rare ones first (prefix filter), and their sizes differ by
+   a quarter at most.  The nodes of a shingle and a range of sizes are a list,
+   equal lists are one, and lists are the blocks; no pair is formed.
 3. In a block, shingles are hashed into groups and every node is a point: how
    many of its shingles fall into each group.  An R-tree over the points bounds
    the overlap of two boxes or points by the sum of coordinate-wise minima, so
@@ -11,8 +12,10 @@
 4. The sets of surviving nodes are compared in full.
 
 Only a spanning forest of links is kept; components follow by contraction.
-Sizes differ by a factor of 1.25 at most within a link, so blocks hold two
-neighbouring size bands (a window) and every node stands in two windows.
+Sizes differ by a factor of 1.25 at most within a link, so lists hold two
+neighbouring size bands (a window).  Lists are not joined to larger groups:
+these would grow with the data, as any two texts that have one rare shingle in
+common chain them.
 """
 
 from __future__ import annotations
@@ -24,16 +27,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import fresh, map_text, mix, slices, stored
+from tabulon.llm.common import fresh, light_batches, map_text, mix, slices, stored
 from tabulon.llm.graph import components, map_groups
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
 WORDS, PERCENT = 5, 80
 #: Of the texts whose hash is 0 modulo this, shingles are counted to put common
 #: ones last in the global order.  Any order gives the same links.
-ORDER_SAMPLE, ORDER_LEAST, ORDER_MOST = 32, 3, 200_000
-#: Nodes of a block; larger candidate groups are dealt to pairs of chunks.
+ORDER_SAMPLE, ORDER_LEAST, ORDER_MOST = 32, 3, 1_000_000
+#: Nodes of a block; larger lists and groups are dealt to pairs of chunks.
 POINT_CHUNK, SET_CHUNK = 4096, 2048
+#: Rows of a shingle that are held to find equal lists; beyond, they stream by.
+HELD_ROWS = 1 << 20
+#: Rows of small lists that are compared at once, and bytes of their points.
+LIST_ROWS, PAIR_BYTES = 2048, 4 << 20
 #: Points of a leaf, children of an inner box.
 LEAF = 32
 #: Node ids that may be broadcast to pick texts (8 bytes each); beyond, they are joined.
@@ -156,9 +163,9 @@ def nodes(docs: DataFrame, text: str, key: str, words: int = WORDS) -> DataFrame
     return base.mapInArrow(run, f"k {kind}, n long, digest binary, node long, points binary")
 
 
-def common_shingles(docs: DataFrame, text: str, words: int = WORDS) -> np.ndarray:
-    """Shingles that a sample of the distinct texts says are common, sorted; at
-    most ``ORDER_MOST``.  Copies of one text count once a slice."""
+def common_shingles(docs: DataFrame, text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a sample of the distinct texts says are common, sorted, and
+    their counts; at most ``ORDER_MOST``.  Copies of one text count once a slice."""
     body = F.col(text).cast("binary").alias("t")
     sample = docs.where(F.pmod(F.xxhash64(text, F.lit("order")), F.lit(ORDER_SAMPLE)) == 0).select(body)
 
@@ -171,15 +178,18 @@ def common_shingles(docs: DataFrame, text: str, words: int = WORDS) -> np.ndarra
 
     rows = (sample.mapInArrow(run, "s long").groupBy("s").count().where(F.col("count") >= ORDER_LEAST)
             .orderBy(F.desc("count"), "s").limit(ORDER_MOST).toArrow())
-    return np.sort(rows.column("s").to_numpy().view(np.uint64))
+    found = rows.column("s").to_numpy().view(np.uint64)
+    order = np.argsort(found)
+    return found[order], np.minimum(rows.column("count").to_numpy()[order], 1 << 30).astype(np.int32)
 
 
-def _prefixes(docs: DataFrame, text: str, common: np.ndarray, words: int, percent: int) -> DataFrame:
-    """``shingle, node, n`` for the first shingles of each set, common ones last."""
+def _prefixes(docs: DataFrame, text: str, common: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
+    """``shingle, node, n`` for the first shingles of each set, common ones last,
+    the most common at the end."""
     sent = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
-        h, last = Hasher(words), sent.value
+        h, (last, often) = Hasher(words), sent.value
         for batch in batches:
             for part in slices(batch, "t", _SLICE):
                 picked, ids, sizes, seen = [np.zeros(0, _U)], [], [], set()
@@ -192,7 +202,10 @@ def _prefixes(docs: DataFrame, text: str, common: np.ndarray, words: int, percen
                     if len(last):
                         place = np.minimum(np.searchsorted(last, s), len(last) - 1)
                         late = last[place] == s
-                        s_ordered = np.concatenate([s[~late], s[late]])
+                        s_ordered = s[~late]
+                        if len(s_ordered) < keep:
+                            rest = np.argsort(often[place[late]], kind="stable")
+                            s_ordered = np.concatenate([s_ordered, s[late][rest]])
                     else:
                         s_ordered = s
                     picked.append(s_ordered[:keep])
@@ -206,61 +219,95 @@ def _prefixes(docs: DataFrame, text: str, common: np.ndarray, words: int, percen
     return docs.select(F.col(text).cast("binary").alias("t")).mapInArrow(run, "shingle long, node long, n int")
 
 
-def _wnode(window, node) -> np.ndarray:
-    """One id for a node in a window."""
-    return mix(node.view(np.uint64) + mix(window.astype(np.int64).view(np.uint64) + _U(1)))
-
-
-def _candidates(prefixes: DataFrame) -> DataFrame:
-    """Edges ``a, b`` between nodes of one window that share a shingle: each to
-    the smallest node of a run of sizes without too large a step.  A shingle's
-    rows stream by in the order of sizes, so a common one needs no memory."""
+def _runs(s: np.ndarray, n: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``list, w, m, node`` from whole shingles, their rows ordered by size: a
+    list is a run of at least two nodes of one window without too large a step
+    in size, named by what it holds.  Of a run within one band only that of the
+    window which begins with it is kept."""
+    new = np.ones(len(s), bool)
+    new[1:] = (s[1:] != s[:-1]) | (node[1:] != node[:-1])
+    s, n, node = s[new], n[new], node[new]
+    shingle = np.cumsum(np.concatenate([[0], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.intp)
+    # rows that are alone with their shingle never need a look
+    busy = np.bincount(shingle)[shingle] > 1 if len(s) else np.zeros(0, bool)
+    n, node, shingle = n[busy].astype(np.int64), node[busy], shingle[busy]
+    window = np.searchsorted(BANDS, n, side="right") - 1
+    # the lower band of its window, then the upper one of the window before
+    at = np.concatenate([shingle * 256 + window + 1, shingle * 256 + window])
+    order = np.argsort(at, kind="stable")
+    at, size, node = at[order], np.tile(n, 2)[order], np.tile(node, 2)[order]
+    opens = np.ones(len(at), bool)
+    opens[1:] = (at[1:] != at[:-1]) | (4 * size[1:] > 5 * size[:-1])
+    start = np.flatnonzero(opens)
+    m = np.diff(np.append(start, len(at)))
+    keep = (m > 1) & (order < len(n))[start]
+    if not keep.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    w = (at[start] % 256 - 1)
+    ids = mix(np.add.reduceat(mix(node.view(_U)), start) + mix(w.view(_U) + _U(1))).view(np.int64)
+    m, rows = m[keep], np.repeat(keep, m)
+    return np.repeat(ids[keep], m), np.repeat(w[keep], m).astype(np.int32), np.repeat(m, m), node[rows]
+
+
+def _streamed(s: np.ndarray, n: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``list, w, m, node`` of some rows of a shingle too common to be held: one
+    list a window, of unknown length (-1)."""
+    band = np.searchsorted(BANDS, n, side="right") - 1
+    w = np.concatenate([band, band - 1])
+    ids = mix(np.tile(s, 2).view(_U) + mix(w.astype(np.int64).view(_U) + _U(1))).view(np.int64)
+    return ids, w.astype(np.int32), np.full(len(w), -1, np.int64), np.tile(node, 2)
+
+
+def _lists(prefixes: DataFrame) -> DataFrame:
+    """Rows ``list, w, m, node`` of the lists of nodes of one window that share a
+    shingle; ``m`` is their length, or -1 if the list is too long to be held."""
     ordered = prefixes.repartition("shingle").sortWithinPartitions("shingle", "n", "node")
 
     def run(batches):
-        # for each of the two windows of a row's band: shingle, window, last size and head of the open run
-        open_runs: dict[int, tuple[int, int, int]] = {}
-        shingle = None
-        for batch in batches:
-            s, node, n = (batch.column(i).to_numpy() for i in range(3))
-            # rows that are alone with their shingle never need a look
-            same = s[1:] == s[:-1]
-            busy = np.zeros(len(s), bool)
-            busy[1:] |= same
-            busy[:-1] |= same
-            if len(s):
-                busy[0] = busy[-1] = True
-            at = np.flatnonzero(busy)
-            bands = np.searchsorted(BANDS, n[at], side="right") - 1
-            a, b, w = [], [], []
-            for i, band in zip(at.tolist(), bands.tolist(), strict=True):
-                if s[i] != shingle:
-                    shingle, open_runs = s[i], {}
-                size, x = int(n[i]), int(node[i])
-                for window in (band - 1, band):
-                    run_ = open_runs.get(window)
-                    if run_ is not None and 4 * size <= 5 * run_[0]:
-                        if run_[1] != x:
-                            a.append(run_[1])
-                            b.append(x)
-                            w.append(window)
-                        open_runs[window] = (size, run_[1])
-                    else:
-                        open_runs[window] = (size, x)
-            window = np.array(w, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [_signed(_wnode(window, np.array(a, np.int64))), _signed(_wnode(window, np.array(b, np.int64)))],
-                names=["a", "b"])
-
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+        held, huge = [], None
 
+        def batch_of(cols):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["list", "w", "m", "node"])
 
-def _chunked(members: DataFrame, label: str, id_: str, size: int) -> DataFrame:
-    """Members with the blocks (``label, i, j``) they stand in.  Groups of up to
+        for batch in batches:
+            s, node, n = (batch.column(i).to_numpy() for i in range(3))
+            if huge is not None:  # the shingle that streams by
+                end = int(np.searchsorted(s, huge, side="right"))
+                yield batch_of(_streamed(s[:end], n[:end], node[:end]))
+                s, node, n = s[end:], node[end:], n[end:]
+                if not len(s):
+                    continue
+                huge = None
+            if not len(s):
+                continue
+            last = int(np.searchsorted(s, s[-1], side="left"))  # its rows may go on in the next batch
+            if last or (held and held[-1][0][-1] != s[-1]):
+                held.append((s[:last], n[:last], node[:last]))
+                yield batch_of(_runs(*map(np.concatenate, zip(*held, strict=True))))
+                held = []
+            held.append((s[last:], n[last:], node[last:]))
+            if sum(len(h[0]) for h in held) > HELD_ROWS:
+                huge = s[-1]
+                for h in held:
+                    yield batch_of(_streamed(*h))
+                held = []
+        if held:
+            yield batch_of(_runs(*map(np.concatenate, zip(*held, strict=True))))
+
+    return ordered.mapInArrow(run, "list long, w int, m long, node long").distinct()
+
+
+def _chunked(members: DataFrame, labels: list[str], id_: str, size: int, known: str | None = None) -> DataFrame:
+    """Members with the blocks (``labels, i, j``) they stand in.  Groups of up to
     ``size`` members are one block; larger ones are dealt by a hash into chunks,
-    and every pair of chunks is a block."""
-    count = members.groupBy(label).agg(F.count("*").alias("_m"))
-    placed = members.join(count, label).withColumn("_k", F.ceil(F.col("_m") / size).cast("int")).withColumn(
+    and every pair of chunks is a block.  ``known``: column with the size of the
+    group, if positive."""
+    unknown = members if known is None else members.where(F.col(known) <= 0)
+    count = unknown.groupBy(*labels).agg(F.count("*").alias("_m"))
+    placed = unknown.join(count, labels)
+    if known is not None:
+        placed = placed.unionByName(members.where(F.col(known) > 0).withColumn("_m", F.col(known)))
+    placed = placed.withColumn("_k", F.ceil(F.col("_m") / size).cast("int")).withColumn(
         "_c", F.pmod(F.xxhash64(F.col(id_), F.lit("chunk")), F.col("_k")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_o")
     return placed.select("*", other).withColumns(
@@ -357,27 +404,73 @@ def surviving(points: np.ndarray, sizes: np.ndarray, forest: Forest, side: np.nd
                 yield a, b
 
 
+def _matrix(points: list[bytes], g: int) -> np.ndarray:
+    """Points of a window as rows; those of the upper band may have finer groups."""
+    out, lengths = np.empty((len(points), g), np.uint16), np.array([len(p) for p in points], np.int64)
+    for length in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == length)
+        fine = np.frombuffer(b"".join([points[r] for r in rows.tolist()]), np.uint16).reshape(len(rows), -1, g)
+        out[rows] = fine.sum(axis=1)
+    return out
+
+
+def close_pairs(points: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray, percent: int = PERCENT):
+    """Pairs of positions of one group whose bound allows a link, as two arrays;
+    ``group`` is ascending.  Positions of sides that are not negative meet only
+    other sides."""
+    ends = np.searchsorted(group, group, side="right")
+    reps = ends - np.arange(len(group)) - 1
+    x = np.repeat(np.arange(len(group)), reps)
+    y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(reps) - reps, reps)
+    apart = (side[x] < 0) | (side[x] != side[y])
+    least = needed(sizes[x], sizes[y], percent)
+    fits = apart & (np.minimum(sizes[x], sizes[y]) >= least)
+    x, y, least = x[fits], y[fits], least[fits]
+    passed, step = np.zeros(len(x), bool), max(1, PAIR_BYTES // max(1, 2 * points.shape[1]))
+    for k in range(0, len(x), step):
+        bound = np.minimum(points[x[k:k + step]], points[y[k:k + step]]).sum(axis=1, dtype=np.int64)
+        passed[k:k + step] = bound >= least[k:k + step]
+    return x[passed], y[passed]
+
+
 def _point_edges(blocks: DataFrame, percent: int) -> DataFrame:
     """Edges ``a, b`` between nodes whose points allow a link: a spanning forest
-    of each block."""
-
-    def run(group: pa.Table):
-        window = group.column("w")[0].as_py()
-        g = groups_of(window)
-        sizes = group.column("n").to_numpy()
-        node = group.column("node").to_numpy()
-        rows = []
-        for p in group.column("points").to_pylist():
-            v = np.frombuffer(p, np.uint16)
-            rows.append(v.reshape(-1, g).sum(axis=0) if len(v) > g else v)
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        side = None if i == j else group.column("_c").to_numpy()
-        found = list(surviving(np.array(rows, np.uint16), sizes, Forest(len(rows)), side, percent))
-        if found:
-            a, b = np.array(found).T
-            yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
-
-    return map_groups(blocks, ["label", "i", "j"], "a long, b long", run)
+    of each block.  Lists of a leaf at most need no tree; many are compared at once."""
+    keys = ["w", "list", "m", "i", "j"]
+
+    def run(several: pa.Table):
+        cols = [several.column(k).to_numpy() for k in keys]
+        change = np.zeros(several.num_rows, bool)
+        for c in cols:
+            change[1:] |= c[1:] != c[:-1]
+        group, w, node, sizes = np.cumsum(change), cols[0], several.column("node").to_numpy(), several.column("n").to_numpy()
+        side = np.where(cols[3] == cols[4], -1, several.column("_c").to_numpy())
+        bytes_, count = several.column("points").to_pylist(), np.bincount(group)
+        small = (count <= LEAF)[group]
+        a, b = [], []
+        for window in np.unique(w[small]).tolist():
+            some = np.flatnonzero(small & (w == window))
+            points = _matrix([bytes_[k] for k in some.tolist()], groups_of(window))
+            x, y = close_pairs(points, sizes[some], group[some], side[some], percent)
+            a.append(node[some[x]])
+            b.append(node[some[y]])
+        starts = np.searchsorted(group, np.arange(len(count) + 1))
+        for k in np.flatnonzero(count > LEAF).tolist():
+            some = slice(starts[k], starts[k + 1])
+            points = _matrix(bytes_[some], groups_of(int(w[starts[k]])))
+            sides = None if side[starts[k]] < 0 else side[some]
+            found = list(surviving(points, sizes[some], Forest(len(points)), sides, percent))
+            if found:
+                x, y = np.array(found).T
+                a.append(node[some][x])
+                b.append(node[some][y])
+        a, b = np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b])
+        names, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        forest, x, y = Forest(len(names)), place[:len(a)].tolist(), place[len(a):].tolist()
+        kept = np.array([forest.join(p, q) for p, q in zip(x, y, strict=True)], bool)
+        yield pa.RecordBatch.from_arrays([pa.array(a[kept]), pa.array(b[kept])], names=["a", "b"])
+
+    return map_groups(blocks, keys, "a long, b long", run, at_once=LIST_ROWS)
 
 
 def set_links(sets: list[np.ndarray], side: np.ndarray | None, percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -440,7 +533,7 @@ def _links(docs: DataFrame, text: str, labels: DataFrame, words: int, percent: i
 
     sets = body.mapInArrow(run, "node long, digest binary, s binary").join(labels, "node")
     sets = sets.groupBy("digest").agg(F.first("root").alias("label"), F.first("s").alias("s"))
-    blocks = _chunked(sets, "label", "digest", SET_CHUNK)
+    blocks = _chunked(sets, ["label"], "digest", SET_CHUNK)
 
     def link(group: pa.Table):
         names = group.column("digest").to_pylist()
@@ -458,15 +551,14 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
             percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Rows ``k, n, digest`` of all documents, and ``digest, component`` of every
     set that is not empty: the smallest key reachable by links."""
+    light_batches(docs.sparkSession)
     base = stored(nodes(docs, text, key, words), "nodes")
     common = common_shingles(docs, text, words)
-    edges = _candidates(_prefixes(docs, text, common, words, percent))
-    labels = stored(components(edges), "labels").select(F.col("node").alias("wnode"), F.col("root").alias("label"))
-    band_of = _band_column(F.col("n"))
+    lists = stored(_lists(_prefixes(docs, text, common, words, percent)), "lists")
     single = base.where("n > 0").groupBy("digest").agg(
-        F.first("node").alias("node"), F.first("n").alias("n"), F.first("points").alias("points"))
-    windows = _with_wnode(single.withColumn("band", band_of))
-    points = _point_edges(_chunked(windows.join(labels, "wnode"), "label", "node", POINT_CHUNK), percent)
+        F.first("node").alias("node"), F.first("n").alias("n"), F.first("points").alias("points")).drop("digest")
+    blocks = _chunked(lists, ["list", "w", "m"], "node", POINT_CHUNK, "m").join(single, "node")
+    points = _point_edges(blocks, percent)
     refined = stored(components(points), "refined")
     linked = components(_links(docs, text, refined, words, percent))
     least = base.where("n > 0").groupBy("digest").agg(F.min("k").alias("least"))
@@ -476,27 +568,6 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     return base.select("k", "n", "digest"), roots.join(top, "root").select("digest", "component")
 
 
-def _band_column(n):
-    steps = [int(b) for b in BANDS]
-    return F.size(F.filter(F.array(*map(F.lit, steps)), lambda b: b <= n)) - 1
-
-
-def _with_wnode(df: DataFrame) -> DataFrame:
-    """Each node in its two windows."""
-
-    def run(batches):
-        for batch in batches:
-            node = batch.column(batch.schema.get_field_index("node")).to_numpy()
-            band = batch.column(batch.schema.get_field_index("band")).to_numpy()
-            cols = [batch.column(batch.schema.get_field_index(c)) for c in ("node", "n", "points")]
-            for step in (-1, 0):
-                w = (band + step).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([_signed(_wnode(w, node)), pa.array(w), *cols],
-                                                 names=["wnode", "w", "node", "n", "points"])
-
-    return df.select("node", "n", "points", "band").mapInArrow(run, "wnode long, w int, node long, n long, points binary")
-
-
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
          percent: int = PERCENT) -> DataFrame:
     """``key``, ``n_shingles``, ``component_id`` of every row.
